@@ -322,7 +322,7 @@ def _executive_summary(i):
     return executive_summary(orders, rfm_base(orders))
 
 
-_MONEY = "'R$ ' || format('{{:,}}', CAST(round({0}, 0) AS BIGINT))"
+_MONEY = "'R$ ' || format('{{:,}}', CAST(printf('%.0f', {0}) AS BIGINT))"
 _COUNT = "format('{{:,}}', {0})"
 register(
     "executive_summary",

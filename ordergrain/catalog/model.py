@@ -221,7 +221,7 @@ for _score in ("coarse", "fine"):
 register(
     "m15_threshold_metrics",
     lambda i: metrics.threshold_metrics(_scored(i), "is_late", "fine", 0.62),
-    _SCORED_SQL + _threshold_sql("scored", "fine", "0.62e0", "at") + "\nSELECT * FROM at",
+    _SCORED_SQL + _threshold_sql("scored", "fine", "0.62e0", "chosen") + "\nSELECT * FROM chosen",
 )
 _SWEEP_SQL = """, sweep AS (
     SELECT 0.05e0 + i * 0.01e0 AS threshold,
@@ -276,8 +276,8 @@ register(
     _ROWS_SQL + """, base AS (
     SELECT is_late, (SELECT avg(is_late) FROM fit) AS score FROM sliced WHERE split = 'validation'
 )"""
-    + _ranking_sql("base", "score", "ranked") + _threshold_sql("base", "score", "0.5e0", "at")
-    + "\nSELECT pr_auc, roc_auc, precision, recall, f1 FROM ranked, at",
+    + _ranking_sql("base", "score", "ranked") + _threshold_sql("base", "score", "0.5e0", "chosen")
+    + "\nSELECT pr_auc, roc_auc, precision, recall, f1 FROM ranked, chosen",
     rounded=("pr_auc",),
 )
 

@@ -120,7 +120,7 @@ def money_text(value: Column, places: int = 0) -> Column:
 
 
 def percent_text(share: Column) -> Column:
-    return F.format_string("%.1f%%", percent(share))
+    return F.concat(F.call_function("format_number", percent(share), F.lit("0.0")), F.lit("%"))
 
 
 def title_text(name: Column) -> Column:

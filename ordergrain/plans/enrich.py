@@ -126,7 +126,11 @@ def item_details(
 def item_totals(
     tables: Tables, columns: Iterable[str] = ITEM_COLUMNS, centroids: DataFrame | None = None
 ) -> DataFrame:
-    """Per order: counts, price and freight totals, product means and primary values."""
+    """Per order: counts, price and freight totals, product means and primary values.
+
+    Distinct counts get an aggregate of their own over the bare items. In one aggregate with the
+    others, every item with all its facts would be copied for each of them.
+    """
     wanted = [c for c in ITEM_COLUMNS if c in set(columns)]
     measures = {
         "item_count": lambda: F.count("order_item_id"),
@@ -140,11 +144,21 @@ def item_totals(
         "primary_category": lambda: most_frequent(F.col("category")),
         "primary_seller_state": lambda: most_frequent(F.col("seller_state")),
     }
+
+    def per_order(items: DataFrame, names: list[str]) -> DataFrame:
+        known = items.where(F.col("order_id").isNotNull())
+        return known.groupBy("order_id").agg(*[measures[name]().alias(name) for name in names])
+
+    distinct = [c for c in wanted if c in ("unique_product_count", "seller_count")]
+    others = [c for c in wanted if c not in distinct]
+    if not distinct:
+        return per_order(item_details(tables, others, centroids), others)
+    if not others:
+        return per_order(tables["items"], distinct)
     return (
-        item_details(tables, wanted, centroids)
-        .where(F.col("order_id").isNotNull())
-        .groupBy("order_id")
-        .agg(*[measures[name]().alias(name) for name in wanted])
+        per_order(item_details(tables, others, centroids), others)
+        .join(per_order(tables["items"], distinct), "order_id")
+        .select("order_id", *wanted)
     )
 
 

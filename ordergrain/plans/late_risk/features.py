@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Transformer
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import (
     OneHotEncoder,
     OneHotEncoderModel,
@@ -225,20 +225,20 @@ def preparation_stages(rows: DataFrame, learned: FeatureStatistics) -> list[Tran
     """
     used = {c: labels for c, labels in slot_labels(learned).items() if labels}
     prepare = SQLTransformer(statement=_prepare_sql(learned))
-    index = StringIndexerModel.from_arrays_of_labels(
-        list(used.values()),
-        inputCols=[f"slot__{c}" for c in used],
-        outputCols=[f"index__{c}" for c in used],
-        handleInvalid="keep",
-    )
+    indexers = [
+        StringIndexerModel.from_labels(
+            labels, inputCol=f"slot__{c}", outputCol=f"index__{c}", handleInvalid="keep"
+        )
+        for c, labels in used.items()
+    ]
     # The labels are in the column metadata, so fitting the encoder reads no rows.
     encode: OneHotEncoderModel = OneHotEncoder(
         inputCols=[f"index__{c}" for c in used],
         outputCols=[f"onehot__{c}" for c in used],
         dropLast=True,
-    ).fit(index.transform(prepare.transform(rows.limit(0))))
+    ).fit(PipelineModel([prepare, *indexers]).transform(rows.limit(0)))
     assemble = VectorAssembler(
         inputCols=[f"numeric__{c}" for c in NUMERIC_FEATURES] + [f"onehot__{c}" for c in used],
         outputCol="features",
     )
-    return [prepare, index, encode, assemble]
+    return [prepare, *indexers, encode, assemble]
