@@ -31,18 +31,14 @@ def read_csv(
     types: dict[str, str],
     *,
     line_breaks: bool = True,
-    file_name: str | None = None,
 ) -> DataFrame:
     """Read one CSV by its header; every cell starts as text, so column order is free.
 
     ``line_breaks`` accepts quoted cells that span lines. Such a file cannot be split, so it is
-    one task; without them Spark reads a large file in parallel. With ``file_name`` the folder
-    ``path`` is searched at any depth.
+    one task; without them Spark reads a large file in parallel.
     """
     reader = spark.read.option("header", True).option("escape", '"')
     reader = reader.option("multiLine", line_breaks)
-    if file_name is not None:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", file_name)
     return _typed(reader.csv(path), types)
 
 
@@ -57,20 +53,27 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def missing_sources(spark: SparkSession, folder: str, *, search: bool = False) -> list[str]:
-    """File names of the source tables that ``folder`` does not hold."""
+def find_sources(spark: SparkSession, folder: str, *, search: bool = False) -> dict[str, str]:
+    """Path of each source file that is there, by file name.
+
+    ``search`` looks at any depth below ``folder``; of several files with one name the first in
+    path order counts.
+    """
     if not search:
-        return [name for name in SOURCE_FILES.values() if not _exists(spark, f"{folder}/{name}")]
+        paths = {name: f"{folder}/{name}" for name in SOURCE_FILES.values()}
+        return {name: path for name, path in paths.items() if _exists(spark, path)}
+    name = F.element_at(F.split("path", "/"), -1)
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
         .load(folder)
-        .select(F.element_at(F.split("path", "/"), -1).alias("name"))
+        .select(name.alias("name"), "path")
         .where(F.col("name").isin(*SOURCE_FILES.values()))
-        .distinct()
+        .groupBy("name")
+        .agg(F.min("path").alias("path"))
     )
-    found = {row["name"] for row in listing.collect()}  # at most nine names
-    return [name for name in SOURCE_FILES.values() if name not in found]
+    return {row["name"]: row["path"] for row in listing.collect()}  # at most nine rows
 
 
 def read_sources(
@@ -81,19 +84,14 @@ def read_sources(
     free_text: tuple[str, ...] = FREE_TEXT_TABLES,
 ) -> dict[str, DataFrame]:
     """The nine source tables; names every missing file before reading any."""
-    missing = missing_sources(spark, folder, search=search)
+    paths = find_sources(spark, folder, search=search)
+    missing = [name for name in SOURCE_FILES.values() if name not in paths]
     if missing:
         raise FileNotFoundError("Missing source files: " + ", ".join(missing))
-    tables = {}
-    for table, name in SOURCE_FILES.items():
-        tables[table] = read_csv(
-            spark,
-            folder if search else f"{folder}/{name}",
-            SOURCE_TYPES[table],
-            line_breaks=table in free_text,
-            file_name=name if search else None,
-        )
-    return tables
+    return {
+        table: read_csv(spark, paths[name], SOURCE_TYPES[table], line_breaks=table in free_text)
+        for table, name in SOURCE_FILES.items()
+    }
 
 
 def read_enriched(spark: SparkSession, path: str) -> DataFrame:
