@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ordergrain.catalog.oracle import ROLES_AND_ENRICHED
 from ordergrain.plans.enrich import enrich_orders
 from ordergrain.session import apply_settings
-from ordergrain.sources.roles import role_tables
+from ordergrain.sources.roles import RoleTables
 
 # Averages of doubles depend in their last bits on the order of addition, so both sides of a
 # comparison round them to this many places.
@@ -27,8 +27,8 @@ class Inputs:
         self.folder = folder
 
     @cached_property
-    def tables(self) -> dict[str, DataFrame]:
-        return role_tables(self.spark, self.folder)
+    def tables(self) -> RoleTables:
+        return RoleTables(self.spark, self.folder)
 
     def orders(self, *columns: str) -> DataFrame:
         """The enriched orders, all columns or the given ones."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,16 +19,15 @@ TRANSLATIONS = {
 }
 
 
+Reader = Callable[[str], DataFrame]
+
+
 def _after(unit: str, amount: str) -> str:
     return f"timestampadd({unit}, CAST({amount} AS INT), o_orderdate)"
 
 
-def role_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
-    nation = read("nation").select("n_nationkey", "n_name")
-    orders = read("orders").selectExpr(
+def _orders(read: Reader) -> DataFrame:
+    return read("orders").selectExpr(
         "o_orderkey AS order_id",
         "o_custkey AS customer_id",
         "CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped'"
@@ -41,7 +42,11 @@ def role_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         + _after("DAY", "15 + o_orderkey % 20")
         + " END AS order_estimated_delivery_date",
     )
-    customers = (
+
+
+def _customers(read: Reader) -> DataFrame:
+    nation = read("nation").select("n_nationkey", "n_name")
+    return (
         read("customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .selectExpr(
@@ -52,12 +57,19 @@ def role_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             "n_name AS customer_state",
         )
     )
-    geolocation = read("customer").selectExpr(
+
+
+def _geolocation(read: Reader) -> DataFrame:
+    return read("customer").selectExpr(
         "CAST(c_nationkey AS INT) AS geolocation_zip_code_prefix",
         "CAST(-33 + (c_custkey * 7 % 380) / CAST(10 AS DOUBLE) AS DOUBLE) AS geolocation_lat",
         "CAST(-73 + (c_custkey * 13 % 380) / CAST(10 AS DOUBLE) AS DOUBLE) AS geolocation_lng",
     )
-    sellers = (
+
+
+def _sellers(read: Reader) -> DataFrame:
+    nation = read("nation").select("n_nationkey", "n_name")
+    return (
         read("supplier")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .selectExpr(
@@ -66,7 +78,10 @@ def role_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             "n_name AS seller_state",
         )
     )
-    products = read("part").selectExpr(
+
+
+def _products(read: Reader) -> DataFrame:
+    return read("part").selectExpr(
         "p_partkey AS product_id",
         "CASE WHEN p_partkey % 40 <> 0 THEN p_type END AS product_category_name",
         "CASE WHEN p_partkey % 60 <> 0 THEN CAST(p_size * 100 AS DOUBLE) END AS product_weight_g",
@@ -74,15 +89,10 @@ def role_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "CAST(5 + p_partkey % 40 AS DOUBLE) AS product_height_cm",
         "CAST(8 + p_partkey % 25 AS DOUBLE) AS product_width_cm",
     )
-    translation = literal_table(
-        spark,
-        [
-            {"product_category_name": name, "product_category_name_english": english}
-            for name, english in TRANSLATIONS.items()
-        ],
-    )
-    lineitem = read("lineitem")
-    items = lineitem.selectExpr(
+
+
+def _items(read: Reader) -> DataFrame:
+    return read("lineitem").selectExpr(
         "l_orderkey AS order_id",
         "l_linenumber AS order_item_id",
         "l_partkey AS product_id",
@@ -90,26 +100,63 @@ def role_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "l_extendedprice AS price",
         "l_quantity AS freight_value",
     )
-    payments = lineitem.where("l_orderkey % 83 <> 0").selectExpr(
+
+
+def _payments(read: Reader) -> DataFrame:
+    return read("lineitem").where("l_orderkey % 83 <> 0").selectExpr(
         "l_orderkey AS order_id",
         "l_linenumber AS payment_sequential",
         "l_returnflag AS payment_type",
         "CAST(1 + l_linenumber % 10 AS INT) AS payment_installments",
         "l_extendedprice AS payment_value",
     )
-    reviews = read("events").where("event_type <> 'error'").selectExpr(
+
+
+def _reviews(read: Reader) -> DataFrame:
+    return read("events").where("event_type <> 'error'").selectExpr(
         "event_id AS review_id",
         "event_id - event_id % 3 AS order_id",
         "CAST(1 + event_id * 7 % 5 AS INT) AS review_score",
     )
-    return {
-        "customers": customers,
-        "geolocation": geolocation,
-        "items": items,
-        "orders": orders,
-        "payments": payments,
-        "products": products,
-        "reviews": reviews,
-        "sellers": sellers,
-        "translation": translation,
-    }
+
+
+_PROJECTIONS: dict[str, Callable[[Reader], DataFrame]] = {
+    "customers": _customers,
+    "geolocation": _geolocation,
+    "items": _items,
+    "orders": _orders,
+    "payments": _payments,
+    "products": _products,
+    "reviews": _reviews,
+    "sellers": _sellers,
+}
+
+
+class RoleTables(Mapping[str, DataFrame]):
+    """The nine tables of one test-data folder; a table's files are opened when it is first used."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark = spark
+        self._folder = folder
+        self._opened: dict[str, DataFrame] = {}
+
+    def _read(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._opened:
+            if table == "translation":
+                rows = [
+                    {"product_category_name": name, "product_category_name_english": english}
+                    for name, english in TRANSLATIONS.items()
+                ]
+                self._opened[table] = literal_table(self._spark, rows)
+            else:
+                self._opened[table] = _PROJECTIONS[table](self._read)
+        return self._opened[table]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter([*_PROJECTIONS, "translation"])
+
+    def __len__(self) -> int:
+        return len(_PROJECTIONS) + 1
