@@ -105,7 +105,8 @@ _STATES = ["NATION_1", "NATION_4", "NATION_7"]
 _STATE_LIST = ", ".join(f"'{s}'" for s in _STATES)
 _FROM, _TO = date(1996, 3, 1), date(1999, 6, 30)
 _PERIOD = "order_purchase_timestamp >= DATE '1996-03-01' AND order_purchase_timestamp < DATE '1999-07-01'"
-_FILTER_SQL = f"customer_state IN ({_STATE_LIST}) AND {_PERIOD}"
+FILTER = (_STATES, _FROM, _TO)
+FILTER_SQL = f"customer_state IN ({_STATE_LIST}) AND {_PERIOD}"
 register(
     "p6_state_filter",
     lambda i: kpis.filtered_orders(i.orders("order_id", "order_status", "customer_state"), _STATES).select(
@@ -120,15 +121,15 @@ register(
     ).select("order_id", "order_purchase_timestamp"),
     f"SELECT order_id, order_purchase_timestamp FROM d WHERE {_PERIOD}",
 )
-_REVIEW_PAIR = (
+REVIEW_PAIR = (
     "SELECT avg(CASE WHEN is_late = 0 THEN review_score END) AS on_time_review,"
     " avg(CASE WHEN is_late = 1 THEN review_score END) AS late_review FROM d"
 )
-_REVIEW_COLUMNS = ("order_id", "order_status", "is_late", "review_score")
+REVIEW_COLUMNS = ("order_id", "order_status", "is_late", "review_score")
 register(
     "p8_masked_means",
-    lambda i: kpis.mean_review_by_lateness(i.orders(*_REVIEW_COLUMNS)),
-    _REVIEW_PAIR,
+    lambda i: kpis.mean_review_by_lateness(i.orders(*REVIEW_COLUMNS)),
+    REVIEW_PAIR,
     rounded=("on_time_review", "late_review"),
 )
 register(
@@ -140,8 +141,8 @@ register(
     " WHERE primary_category IS NOT NULL GROUP BY primary_category HAVING count(DISTINCT order_id) >= 500",
 )
 
-_COHORT_COLUMNS = ("order_id", "order_status", "customer_unique_id", "order_purchase_timestamp")
-_COHORT_SQL = """WITH months AS (
+COHORT_COLUMNS = ("order_id", "order_status", "customer_unique_id", "order_purchase_timestamp")
+COHORT_SQL = """WITH months AS (
     SELECT DISTINCT customer_unique_id, CAST(date_trunc('month', order_purchase_timestamp) AS DATE) AS order_month
     FROM d WHERE customer_unique_id IS NOT NULL AND order_purchase_timestamp IS NOT NULL
 ), firsts AS (
@@ -158,10 +159,10 @@ _COHORT_SQL = """WITH months AS (
 """
 register(
     "p10_cohort_sizes",
-    lambda i: cohort_counts(i.orders(*_COHORT_COLUMNS)).where("cohort_index = 0").select(
+    lambda i: cohort_counts(i.orders(*COHORT_COLUMNS)).where("cohort_index = 0").select(
         "cohort_month", F.col("customers").alias("cohort_size")
     ),
-    _COHORT_SQL + "SELECT cohort_month, cohort_size FROM sizes",
+    COHORT_SQL + "SELECT cohort_month, cohort_size FROM sizes",
 )
 register(
     "p11_casts",
@@ -183,7 +184,7 @@ register(
     ),
     f"SELECT order_id, CAST(0 {_OUTSIDE} AS INT) AS violations FROM d",
 )
-_OVERALL_SQL = f"""
+OVERALL_SQL = f"""
 SELECT count(DISTINCT order_id) AS orders,
        count(DISTINCT CASE WHEN order_status = 'delivered' THEN order_id END) AS delivered_orders,
        coalesce(CAST(sum(CASE WHEN order_status = 'delivered' THEN CAST(total_payment AS DECIMAL(18, 2)) END)
@@ -193,11 +194,11 @@ SELECT count(DISTINCT order_id) AS orders,
        avg(CASE WHEN order_status = 'delivered' THEN is_late END) AS late_rate,
        avg(CASE WHEN order_status = 'delivered' THEN review_score END) AS avg_review_score
 FROM e"""
-_OVERALL_COLUMNS = ("order_id", "order_status", "total_payment", "is_late", "review_score")
+OVERALL_COLUMNS = ("order_id", "order_status", "total_payment", "is_late", "review_score")
 register(
     "p13_metric_rows",
-    lambda i: kpis.as_metric_rows(kpis.overall_kpis(i.orders(*_OVERALL_COLUMNS))),
-    f"WITH o AS ({_OVERALL_SQL}), w AS (SELECT CAST(orders AS DOUBLE) AS orders,"
+    lambda i: kpis.as_metric_rows(kpis.overall_kpis(i.orders(*OVERALL_COLUMNS))),
+    f"WITH o AS ({OVERALL_SQL}), w AS (SELECT CAST(orders AS DOUBLE) AS orders,"
     " CAST(delivered_orders AS DOUBLE) AS delivered_orders, revenue, avg_order_value, late_rate,"
     " avg_review_score FROM o)\nSELECT metric, value FROM (UNPIVOT w ON COLUMNS(*) INTO NAME metric VALUE value)",
     rounded=("value",),
@@ -269,10 +270,10 @@ register(
 )
 register(
     "j15_cohort_share",
-    lambda i: cohort_retention(i.orders(*_COHORT_COLUMNS)).select(
+    lambda i: cohort_retention(i.orders(*COHORT_COLUMNS)).select(
         "cohort_month", "cohort_index", "customers", "cohort_size"
     ),
-    _COHORT_SQL + "SELECT cohort_month, cohort_index, customers, cohort_size FROM counted"
+    COHORT_SQL + "SELECT cohort_month, cohort_index, customers, cohort_size FROM counted"
     " LEFT JOIN sizes USING (cohort_month)",
 )
 
@@ -282,22 +283,22 @@ register(
     lambda i: enrich.payment_totals(i.tables["payments"], ["primary_payment_type"]),
     "SELECT order_id, primary_payment_type FROM primary_payments",
 )
-_STATE_COLUMNS = ("order_id", "order_status", "customer_state", "total_payment", "is_late", "delivery_days",
+STATE_COLUMNS = ("order_id", "order_status", "customer_state", "total_payment", "is_late", "delivery_days",
                   "review_score")
 register(
     "o2_states_by_revenue",
     lambda i: kpis.by_revenue(
-        kpis.state_performance(i.orders(*_STATE_COLUMNS)).select("customer_state", "orders", "revenue"),
+        kpis.state_performance(i.orders(*STATE_COLUMNS)).select("customer_state", "orders", "revenue"),
         "customer_state",
     ),
     f"SELECT customer_state, count(DISTINCT order_id) AS orders, {PAID_TOTAL} AS revenue FROM d"
     " WHERE customer_state IS NOT NULL GROUP BY customer_state ORDER BY revenue DESC, customer_state",
 )
-_LANE_COLUMNS = ("order_id", "order_status", "customer_state", "primary_seller_state", "avg_distance_km",
+LANE_COLUMNS = ("order_id", "order_status", "customer_state", "primary_seller_state", "avg_distance_km",
                  "delivery_days", "is_late")
 register(
     "o3_lanes_ranked",
-    lambda i: business_sql.delivery_lanes(i.spark, i.orders(*_LANE_COLUMNS), min_orders=5),
+    lambda i: business_sql.delivery_lanes(i.spark, i.orders(*LANE_COLUMNS), min_orders=5),
     lanes_sql(5),
 )
 register(
@@ -313,10 +314,10 @@ register(
     f"SELECT * FROM (SELECT primary_category, {PAID_TOTAL} AS total_payment FROM d"
     " WHERE primary_category IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5) ORDER BY 2, 1 DESC",
 )
-_CATEGORY_COLUMNS = ("order_id", "order_status", "primary_category", "total_payment", "is_late", "review_score")
+CATEGORY_COLUMNS = ("order_id", "order_status", "primary_category", "total_payment", "is_late", "review_score")
 register(
     "o7_leading_category",
-    lambda i: leader(kpis.category_performance(i.orders(*_CATEGORY_COLUMNS)), "primary_category"),
+    lambda i: leader(kpis.category_performance(i.orders(*CATEGORY_COLUMNS)), "primary_category"),
     f"SELECT primary_category, {PAID_TOTAL} AS revenue, count(DISTINCT order_id) AS orders FROM d"
     " WHERE primary_category IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1",
 )
@@ -412,11 +413,11 @@ register(
 )
 register(
     "f16_month_difference",
-    lambda i: active_months(i.orders(*_COHORT_COLUMNS)).select(
+    lambda i: active_months(i.orders(*COHORT_COLUMNS)).select(
         "customer_unique_id", "order_month",
         scalar.months_between_months(F.col("cohort_month"), F.col("order_month")).alias("cohort_index"),
     ),
-    _COHORT_SQL + "SELECT customer_unique_id, order_month, CAST((year(order_month) - year(cohort_month)) * 12"
+    COHORT_SQL + "SELECT customer_unique_id, order_month, CAST((year(order_month) - year(cohort_month)) * 12"
     " + month(order_month) - month(cohort_month) AS INT) AS cohort_index FROM firsts",
 )
 register(
@@ -452,8 +453,8 @@ register(
 )
 register(
     "f21_retention_ratio",
-    lambda i: cohort_retention(i.orders(*_COHORT_COLUMNS)).select("cohort_month", "cohort_index", "retention_rate"),
-    _COHORT_SQL + "SELECT cohort_month, cohort_index, customers / cohort_size AS retention_rate FROM counted"
+    lambda i: cohort_retention(i.orders(*COHORT_COLUMNS)).select("cohort_month", "cohort_index", "retention_rate"),
+    COHORT_SQL + "SELECT cohort_month, cohort_index, customers / cohort_size AS retention_rate FROM counted"
     " LEFT JOIN sizes USING (cohort_month)",
 )
 register(
@@ -496,7 +497,7 @@ register(
     " THEN 1 ELSE 0 END AS predicted FROM d",
 )
 
-# --- what the reference does with lambdas and row functions ---------------------------------------
+# --- per-customer and per-order labels -------------------------------------------------------------
 RFM_COLUMNS = ("order_id", "order_status", "customer_unique_id", "order_purchase_timestamp", "total_payment")
 RFM_SQL = _REFERENCE_SQL + f""", base AS (
     SELECT customer_unique_id, {_RECENCY.format(ts="max(order_purchase_timestamp)")} AS recency_days,
@@ -554,9 +555,3 @@ register(
     ),
     "SELECT order_id, primary_category FROM primary_categories",
 )
-FILTER = (_STATES, _FROM, _TO)
-FILTER_SQL = _FILTER_SQL
-OVERALL_SQL, OVERALL_COLUMNS = _OVERALL_SQL, _OVERALL_COLUMNS
-COHORT_SQL, COHORT_COLUMNS = _COHORT_SQL, _COHORT_COLUMNS
-CATEGORY_COLUMNS, STATE_COLUMNS, LANE_COLUMNS = _CATEGORY_COLUMNS, _STATE_COLUMNS, _LANE_COLUMNS
-REVIEW_PAIR, REVIEW_COLUMNS = _REVIEW_PAIR, _REVIEW_COLUMNS

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordergrain.plans.kpis import mean_of, order_counts, per_order, purchase_span
+
 
 def table_profile(df: DataFrame, name: str) -> DataFrame:
     """Rows, columns, rows beyond the first of equal ones, and null cells, from one scan.
@@ -37,14 +39,18 @@ def table_profiles(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def order_profile(orders: DataFrame) -> DataFrame:
-    delivered = F.col("order_status") == "delivered"
-    bought = F.col("order_purchase_timestamp")
-    return orders.agg(
-        F.count_distinct("order_id").alias("orders_total"),
-        F.count_distinct(F.when(delivered, F.col("order_id"))).alias("delivered_orders"),
-        F.avg(F.when(delivered, F.col("is_late"))).alias("late_rate"),
-        F.date_format(F.min(bought), "yyyy-MM-dd HH:mm:ss").alias("date_min"),
-        F.date_format(F.max(bought), "yyyy-MM-dd HH:mm:ss").alias("date_max"),
+    span = purchase_span(orders).select(F.struct("*").alias("span")).scalar()
+    return (
+        per_order(orders, "is_late")
+        .agg(*order_counts(), mean_of("is_late").alias("late_rate"))
+        .withColumn("span", span)
+        .select(
+            F.col("orders").alias("orders_total"),
+            "delivered_orders",
+            "late_rate",
+            F.date_format("span.first_purchase", "yyyy-MM-dd HH:mm:ss").alias("date_min"),
+            F.date_format("span.last_purchase", "yyyy-MM-dd HH:mm:ss").alias("date_max"),
+        )
     )
 
 

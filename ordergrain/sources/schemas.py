@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-# The nine source files by table name.
+# How the names of the nine source files end, by table.
 SOURCE_FILES = {
-    "customers": "olist_customers_dataset.csv",
-    "geolocation": "olist_geolocation_dataset.csv",
-    "items": "olist_order_items_dataset.csv",
-    "orders": "olist_orders_dataset.csv",
-    "payments": "olist_order_payments_dataset.csv",
-    "products": "olist_products_dataset.csv",
-    "reviews": "olist_order_reviews_dataset.csv",
-    "sellers": "olist_sellers_dataset.csv",
+    "customers": "customers_dataset.csv",
+    "geolocation": "geolocation_dataset.csv",
+    "items": "order_items_dataset.csv",
+    "orders": "orders_dataset.csv",
+    "payments": "order_payments_dataset.csv",
+    "products": "products_dataset.csv",
+    "reviews": "order_reviews_dataset.csv",
+    "sellers": "sellers_dataset.csv",
     "translation": "product_category_name_translation.csv",
 }
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,38 +41,26 @@ def read_csv(
     return _typed(reader.csv(path), types)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    # binaryFile lists the path without opening a file.
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
-
-
 def find_sources(spark: SparkSession, folder: str, *, search: bool = False) -> dict[str, str]:
-    """Path of each source file that is there, by file name.
+    """Path of each source table's file in ``folder``, for the tables that are there.
 
-    ``search`` looks at any depth below ``folder``; of several files with one name the first in
-    path order counts.
+    ``search`` also looks in the folders below. Of several fitting files the first in path order
+    counts. Only names are listed; no file is opened.
     """
-    if not search:
-        paths = {name: f"{folder}/{name}" for name in SOURCE_FILES.values()}
-        return {name: path for name, path in paths.items() if _exists(spark, path)}
-    name = F.element_at(F.split("path", "/"), -1)
+    # Longest ending first: some endings are the tail of others.
+    endings = sorted(SOURCE_FILES.items(), key=lambda item: -len(item[1]))
+    table = F.coalesce(*[F.when(F.col("path").endswith(end), F.lit(name)) for name, end in endings])
     listing = (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", search)
         .option("pathGlobFilter", "*.csv")
         .load(folder)
-        .select(name.alias("name"), "path")
-        .where(F.col("name").isin(*SOURCE_FILES.values()))
-        .groupBy("name")
+        .select(table.alias("table"), "path")
+        .where(F.col("table").isNotNull())
+        .groupBy("table")
         .agg(F.min("path").alias("path"))
     )
-    return {row["name"]: row["path"] for row in listing.collect()}  # at most nine rows
+    return {row["table"]: row["path"] for row in listing.collect()}  # at most nine rows
 
 
 def read_sources(
@@ -85,17 +72,20 @@ def read_sources(
 ) -> dict[str, DataFrame]:
     """The nine source tables; names every missing file before reading any."""
     paths = find_sources(spark, folder, search=search)
-    missing = [name for name in SOURCE_FILES.values() if name not in paths]
+    missing = [end for table, end in SOURCE_FILES.items() if table not in paths]
     if missing:
         raise FileNotFoundError("Missing source files: " + ", ".join(missing))
     return {
-        table: read_csv(spark, paths[name], SOURCE_TYPES[table], line_breaks=table in free_text)
-        for table, name in SOURCE_FILES.items()
+        table: read_csv(spark, paths[table], SOURCE_TYPES[table], line_breaks=table in free_text)
+        for table in SOURCE_FILES
     }
 
 
 def read_enriched(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The enriched orders, whether or not they were written in month folders."""
+    orders = spark.read.parquet(path)
+    # A folder name such as 2018-01 carries no type.
+    return orders.withColumn("purchase_year_month", F.col("purchase_year_month").cast("string"))
 
 
 def read_derived(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -15,13 +15,13 @@ def folder(tmp_path, spark):
     deep = tmp_path / "a" / "b"
     deep.mkdir(parents=True)
     for name, df in commerce_tables(spark).items():
-        df.toPandas().to_csv(deep / SOURCE_FILES[name], index=False)
+        df.toPandas().to_csv(deep / f"shop_{SOURCE_FILES[name]}", index=False)
     return deep
 
 
 def test_all_missing_files_are_named(spark, folder):
     for name in ("sellers", "items"):
-        (folder / SOURCE_FILES[name]).unlink()
+        (folder / f"shop_{SOURCE_FILES[name]}").unlink()
     for search in (False, True):
         with pytest.raises(FileNotFoundError) as error:
             readers.read_sources(spark, str(folder), search=search)
@@ -42,7 +42,7 @@ def test_csv_sources_give_the_same_enriched_table(spark, folder, search):
 def test_search_takes_one_of_several_files(spark, folder):
     copy = folder.parent / "z"
     copy.mkdir()
-    (copy / SOURCE_FILES["items"]).write_text((folder / SOURCE_FILES["items"]).read_text())
+    (copy / f"shop_{SOURCE_FILES['items']}").write_text((folder / f"shop_{SOURCE_FILES['items']}").read_text())
     assert readers.read_sources(spark, str(folder.parent), search=True)["items"].count() == 7
 
 
