@@ -58,7 +58,7 @@ r_payments AS (
     SELECT l_orderkey AS order_id, l_linenumber AS payment_sequential, l_returnflag AS payment_type,
            CAST(1 + l_linenumber % 10 AS INT) AS payment_installments,
            l_extendedprice AS payment_value
-    FROM lineitem WHERE l_orderkey % 83 <> 0
+    FROM lineitem
 ),
 r_reviews AS (
     SELECT event_id AS review_id, event_id - event_id % 3 AS order_id,
