@@ -56,6 +56,15 @@ def test_quoted_cells(spark, tmp_path):
     assert rows["r3"]["text"] == "na" and rows["r3"]["review_score"] is None
 
 
+@pytest.mark.parametrize("line_breaks", [False, True])
+def test_byte_order_mark_is_not_part_of_the_header(spark, tmp_path, line_breaks):
+    path = tmp_path / "bom.csv"
+    path.write_bytes("\ufeffname,english\r\nbeleza_saúde,beauty\r\n".encode())
+    df = readers.read_csv(spark, str(path), {}, line_breaks=line_breaks)
+    assert df.columns == ["name", "english"]
+    assert tuple(df.first()) == ("beleza_saúde", "beauty")
+
+
 def test_header_order_decides(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text("price,order_id\n2.5,7\n")
