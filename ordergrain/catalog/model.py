@@ -22,7 +22,7 @@ def _split(i):
 
 
 def _fit_rows(i):
-    return materialize(_split(i).where("split = 'fit'").drop("split"))
+    return _split(i).where("split = 'fit'").drop("split")
 
 
 # Rows of d that can be modelled, their place in time and their slice.
