@@ -23,6 +23,9 @@ _SLICE, _PLACE, _START = "__slice", "__place", "__start"
 _BRACKET = 0.0005
 _SKETCH_ACCURACY = 10_000
 
+# Rows of a group that one task may hold at once to find a median (some ten megabytes).
+_SMALL_GROUP = 100_000
+
 
 def _sorted_slices(df: DataFrame, group_by: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
     """Rows in range partitions, with their partition and their place in it.
@@ -137,15 +140,23 @@ def _median_from_counts(counts: DataFrame, group_by: Sequence[str]) -> DataFrame
     )
 
 
-def grouped_medians(df: DataFrame, group_by: str, columns: Sequence[str]) -> DataFrame:
+def grouped_medians(
+    df: DataFrame, group_by: str, columns: Sequence[str], group_limit: int = _SMALL_GROUP
+) -> DataFrame:
     """Exact median of each column per group: ``(group_by, *columns)``, null groups left out.
 
-    Equal values are counted before the sort, and a group may span any number of tasks.
+    The built-in median holds the different values of a group in one task. It is used when no
+    group has more than ``group_limit`` rows, which one counting pass finds out. Otherwise equal
+    values are counted and sorted over range partitions, and a group may span any number of tasks.
     """
+    rows = df.where(F.col(group_by).isNotNull()).select(
+        group_by, *[F.col(c).cast("double").alias(c) for c in columns]
+    )
+    largest = rows.groupBy(group_by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= group_limit:
+        return rows.groupBy(group_by).agg(*[F.median(c).alias(c) for c in columns])
     counts = (
-        df.where(F.col(group_by).isNotNull())
-        .select(group_by, *[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot(group_by, list(columns), "measure", "value")
+        rows.unpivot(group_by, list(columns), "measure", "value")
         .where(F.col("value").isNotNull())
         .groupBy(group_by, "measure", "value")
         .agg(F.count("*").alias("n"))

@@ -79,10 +79,11 @@ def test_exact_medians(table, n):
     assert got["b"] == (statistics.median(known) if known else None)
 
 
-def test_grouped_medians(table):
+@pytest.mark.parametrize("group_limit", [0, 100_000])
+def test_grouped_medians(table, group_limit):
     rng = random.Random(2)
     rows = [(rng.choice([1, 1, 2, 3]), rng.choice([0.5, rng.random()]), rng.randrange(9)) for _ in range(2000)]
-    got = grouped_medians(table("g int, a double, b int", *rows).repartition(4), "g", ["a", "b"]).collect()
+    got = grouped_medians(table("g int, a double, b int", *rows).repartition(4), "g", ["a", "b"], group_limit).collect()
     assert {r["g"] for r in got} == {1, 2, 3}
     for r in got:
         assert r["a"] == pytest.approx(statistics.median(a for g, a, _ in rows if g == r["g"]))

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ordergrain.operators.ranking import exact_medians
+from ordergrain.operators.ranking import exact_medians, grouped_medians
 from ordergrain.plans.cohort import active_months
 from ordergrain.plans.enrich import customers_located, enrich_orders, item_totals, zip_centroids
 from ordergrain.plans.quality import table_profile
@@ -129,7 +129,12 @@ def test_hot_customer_months(tables):
 
 
 def test_hot_zip_median(tables):
-    got = {r["zip"]: (r["lat"], r["lng"]) for r in zip_centroids(tables["geolocation"]).collect()}
+    points = tables["geolocation"].toDF("zip", "lat", "lng")
+    got = {
+        r["zip"]: (r["lat"], r["lng"])
+        for r in grouped_medians(points, "zip", ["lat", "lng"], group_limit=1000).collect()
+    }
+    assert got == {r["zip"]: (r["lat"], r["lng"]) for r in zip_centroids(tables["geolocation"]).collect()}
     expected = {
         r["zip"]: (r["lat"], r["lng"])
         for r in tables["geolocation"]
