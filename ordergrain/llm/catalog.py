@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordergrain.llm import bpe, packing, scoring
+from ordergrain.llm import bpe, lattice, packing, scoring
 from ordergrain.llm.storage import ship_package
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,3 +43,8 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op10_backoff_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.score(_read(spark, folder, "documents"), TRAINING)
+
+
+@_query
+def op1_lattice_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.similar_vectors(_read(spark, folder, "embeddings"))
