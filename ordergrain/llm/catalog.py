@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordergrain.llm import bpe, lattice, packing, scoring
+from ordergrain.llm import bpe, lattice, minhash, packing, scoring
 from ordergrain.llm.storage import ship_package
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,3 +48,8 @@ def op10_backoff_scoring(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op1_lattice_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.similar_vectors(_read(spark, folder, "embeddings"))
+
+
+@_query
+def op3_hyperminhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_read(spark, folder, "documents"))
