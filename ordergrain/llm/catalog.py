@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ordergrain.llm import bpe, lattice, minhash, packing, scoring
+from ordergrain.llm import bpe, lattice, minhash, packing, scoring, substrings
 from ordergrain.llm.storage import ship_package
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,3 +54,10 @@ def op1_lattice_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op3_hyperminhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_read(spark, folder, "documents"))
+
+
+@_query
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return substrings.remove_repeated(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
