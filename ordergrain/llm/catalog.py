@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordergrain.llm import bpe, lattice, minhash, packing, scoring, substrings
+from ordergrain.llm import bpe, lattice, lines, minhash, packing, scoring, substrings
 from ordergrain.llm.storage import ship_package
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -61,3 +61,37 @@ def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents").select("doc_id", "text")
     digest = F.sha2("kept", 256).alias("kept_sha256")
     return substrings.remove_repeated(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
+@_query
+def op6_winnowed_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return lines.remove_repeated_lines(docs).select("doc_id", "n_lines", "n_removed", digest)
+
+
+ORACLES["op6_winnowed_line_dedup"] = r"""
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS n FROM split),
+counting AS (
+  SELECT doc_id, n, line, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS i
+  FROM lines WHERE regexp_matches(line, '[^\x09-\x0D\x20]')
+),
+runs AS (
+  SELECT doc_id, i, line AS a, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM counting
+),
+ranked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, i) AS turn FROM runs WHERE b IS NOT NULL
+),
+gone AS (
+  SELECT doc_id, i FROM ranked WHERE turn > 1 UNION SELECT doc_id, i + 1 FROM ranked WHERE turn > 1
+),
+dead AS (SELECT doc_id, n FROM gone JOIN counting USING (doc_id, i)),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY n) AS text
+  FROM lines ANTI JOIN dead USING (doc_id, n) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(len(parts), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(len(parts), 0) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM split d LEFT JOIN kept k USING (doc_id)
+"""
