@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordergrain.llm import bpe, lattice, lines, minhash, packing, scoring, substrings
+from ordergrain.llm import bpe, hamming, lattice, lines, minhash, packing, scoring, substrings
 from ordergrain.llm.storage import ship_package
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -95,3 +95,24 @@ SELECT d.doc_id, CAST(coalesce(len(parts), 0) AS BIGINT) AS n_lines,
        CAST(coalesce(len(parts), 0) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
 FROM split d LEFT JOIN kept k USING (doc_id)
 """
+
+
+SEARCHED = 10
+
+
+@_query
+def op8_multi_index_hamming_search(spark: SparkSession, folder: str) -> DataFrame:
+    codes = hamming.sign_codes(_read(spark, folder, "embeddings"))
+    return hamming.nearest(codes, codes.where("id % 50 = 0"), SEARCHED)
+
+
+ORACLES["op8_multi_index_hamming_search"] = f"""
+WITH parts AS (SELECT vec_id AS id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+codes AS (SELECT id, string_agg(CASE WHEN x > 0 THEN '1' ELSE '0' END, '' ORDER BY i)::BIT AS code FROM parts GROUP BY id),
+pairs AS (
+  SELECT q.id AS query_id, r.id, CAST(bit_count(xor(q.code, r.code)) AS INTEGER) AS distance
+  FROM codes q JOIN codes r ON q.id <> r.id WHERE q.id % 50 = 0
+),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank FROM pairs)
+SELECT query_id, rank, id, distance FROM ranked WHERE rank <= {SEARCHED}
+"""
