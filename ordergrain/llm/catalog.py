@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordergrain.llm import bpe, hamming, lattice, lines, minhash, packing, scoring, substrings
+from ordergrain.llm import bpe, hamming, lattice, lines, minhash, packing, quality, scoring, substrings
 from ordergrain.llm.storage import ship_package
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -116,3 +116,14 @@ pairs AS (
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank FROM pairs)
 SELECT query_id, rank, id, distance FROM ranked WHERE rank <= {SEARCHED}
 """
+
+
+def good_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled documents: good are those of quality that are not toxic."""
+    good = F.expr("CASE WHEN quality = 1 AND toxic = 0 THEN 1 WHEN quality = 0 OR toxic = 1 THEN 0 END")
+    return _read(spark, folder, "labels").select("doc_id", good.alias("good"))
+
+
+@_query
+def op5_empirical_bayes_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(_read(spark, folder, "documents"), good_labels(spark, folder))

@@ -27,6 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -136,7 +137,7 @@ def similar_vectors(
 
     def place(batches):
         for batch in batches:
-            widths = pa.compute.list_value_length(batch.column("vec")).to_numpy()
+            widths = pc.list_value_length(batch.column("vec")).to_numpy()
             for width in np.unique(widths):
                 rows = batch.filter(pa.array(widths == width))
                 for at in range(0, rows.num_rows, 4096):
@@ -172,7 +173,7 @@ def similar_vectors(
         own, chunk = group.column("own").to_numpy(), group.column("chunk").to_numpy()
         names = ["tab", "cell", "i", "j"]
         columns = [group.column(c).to_numpy() for c in names]
-        widths = pa.compute.list_value_length(group.column("vec")).to_numpy()
+        widths = pc.list_value_length(group.column("vec")).to_numpy()
         order = np.lexsort([*columns[::-1], widths])
         marks = np.stack([*(c[order] for c in columns), widths[order]])
         bounds = np.flatnonzero(np.concatenate([[True], (marks[:, 1:] != marks[:, :-1]).any(axis=0), [True]]))

@@ -29,6 +29,7 @@ import gc
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -193,7 +194,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, most_spans: int = MOST
             for at, texts in row_slices(batch.column("text")):
                 lists = batch.column("list").slice(at, len(texts))
                 flat = pa.RecordBatch.from_struct_array(lists.flatten())
-                owner = np.repeat(np.arange(len(texts)), pa.compute.list_value_length(lists).to_numpy())
+                owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())
                 first, number = flat.column("first").to_numpy().astype(np.int64), flat.column("number").to_numpy()
                 sizes_ = number.astype(np.int64) + length - 1
                 body = texts.data[ragged(texts.offsets[owner] + first, sizes_)]
@@ -273,7 +274,7 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
                 flat = pa.RecordBatch.from_struct_array(lists.flatten()) if len(lists.flatten()) else None
                 change = np.zeros(texts.size + 1, dtype=np.int32)
                 if flat is not None:
-                    counts = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy()
+                    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
                     base = texts.offsets[np.repeat(np.arange(len(texts)), counts)]
                     np.add.at(change, base + flat.column("begin").to_numpy(), 1)
                     np.add.at(change, base + flat.column("end").to_numpy(), -1)

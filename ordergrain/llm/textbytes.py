@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PAD = 8
 SLICE_BYTES = 2 << 20
@@ -73,7 +74,7 @@ def texts_from(values: list[bytes]) -> Texts:
 def row_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, Texts]]:
     """First row and texts of runs of rows with about ``limit`` bytes; a longer row stands alone."""
     sizes = column.cast(pa.large_binary()).fill_null(b"")
-    lengths = pa.compute.binary_length(sizes).to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = pc.binary_length(sizes).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = np.cumsum(lengths)
     first = 0
     while first < len(column):
