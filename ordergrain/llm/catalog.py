@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordergrain.llm import bpe, hamming, lattice, lines, minhash, packing, quality, scoring, substrings
+from ordergrain.llm import bpe, chaining, hamming, lattice, lines, minhash, packing, quality, scoring, substrings
 from ordergrain.llm.storage import ship_package
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -127,3 +127,8 @@ def good_labels(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op5_empirical_bayes_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(_read(spark, folder, "documents"), good_labels(spark, folder))
+
+
+@_query
+def op9_collinear_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return chaining.repeated_passages(_read(spark, folder, "documents"))
