@@ -1,15 +1,74 @@
-"""The corpus pipeline: quality filter, line, near and substring de-duplication, packing."""
+"""The corpus pipeline: quality filter, line, near and substring de-duplication, packing.
+
+Every stage takes the rows that the one before kept, with the columns of ``documents``, and all but
+the last return these columns; ``n_chars`` follows the text. Null texts stay null, rows with null
+ids are never duplicates, and an empty table gives an empty table.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ordergrain.llm import lines, minhash, packing, quality, substrings
+from ordergrain.llm.catalog import BYTE_BPE, good_labels
+from ordergrain.llm.storage import ship_package, stored
+
+
+def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from ``changed``, whose text may differ."""
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return changed.select(*(f"`{c}`" for c in docs.columns))
+
+
+def filter_by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    ship_package(spark)
+    return quality.accepted(docs, good_labels(spark, sf_dir))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later repeats of runs of lines; a document can become empty."""
+    ship_package(spark)
+    return _with_text(docs, lines.remove_repeated_lines(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every group of near duplicates."""
+    ship_package(spark)
+    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+
+
+def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without strings that start elsewhere too; a character that loses a byte goes."""
+    ship_package(spark)
+    cut = substrings.remove_repeated(docs, as_text=True)
+    kept = F.when(F.col("text").isNotNull(), F.col("kept"))
+    return _with_text(docs, cut.withColumn("text", kept))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents with their places in sequences of 1024 tokens."""
+    ship_package(spark)
+    return packing.pack_documents(docs, BYTE_BPE)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality", filter_by_quality),
+    ("lines", drop_repeated_lines),
+    ("near_duplicates", drop_near_duplicates),
+    ("substrings", drop_repeated_strings),
+    ("packing", pack_sequences),
+]
+# The first stage is a statistical model, which SQL cannot express; tests/llm checks the stages
+# against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -257,8 +257,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, most_spans: int = MOST
     return full.unionAll(compared).unionAll(loose)
 
 
-def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans (maximal removed runs) and kept (the remaining bytes)."""
+def remove_repeated(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, as_text: bool = False
+) -> DataFrame:
+    """``docs`` with n_bytes, n_removed, n_spans (maximal removed runs) and kept (the remaining bytes).
+
+    With ``as_text`` kept is a string; characters that lost some of their bytes are dropped.
+    """
     results = ("n_bytes", "n_removed", "n_spans", "kept")
     fields = [f for f in docs.schema.fields if f.name not in results]
     row = F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`"))
@@ -291,6 +296,8 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
                 sizes = np.diff(texts.offsets)
                 ends = np.concatenate([[0], np.cumsum(sizes - removed)]).astype(np.int32)
                 left = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(kept.tobytes())])
+                if as_text:
+                    left = pa.array([x.decode("utf-8", "ignore") for x in left.to_pylist()], pa.string())
                 columns = [part.column(f"c{k}") for k in range(len(fields))]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(sizes), pa.array(removed), pa.array(runs), left],
@@ -301,7 +308,7 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
         [
             *(T.StructField(f"c{k}", f.dataType) for k, f in enumerate(fields)),
             *(T.StructField(c, T.LongType()) for c in results[:3]),
-            T.StructField("kept", T.BinaryType()),
+            T.StructField("kept", T.StringType() if as_text else T.BinaryType()),
         ]
     )
     return both.mapInArrow(cut, schema).toDF(*(f.name for f in fields), *results)
