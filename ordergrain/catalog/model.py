@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import functions as F
 
 from ordergrain.catalog.registry import register
@@ -129,7 +127,7 @@ def _vectors(i):
     return prepared.select(
         "order_id",
         F.size(values).alias("width"),
-        F.aggregate(F.transform(F.slice(values, 14, 100_000), lambda x: x), F.lit(0.0), lambda a, b: a + b)
+        F.aggregate(F.slice(values, len(features.NUMERIC_FEATURES) + 1, F.size(values)), F.lit(0.0), lambda a, b: a + b)
         .cast("int")
         .alias("slots_set"),
         values[0].alias("item_count_scaled"),
@@ -251,15 +249,15 @@ def _chosen(i):
             .select(F.lit(name).alias("model"), "pr_auc", F.lit(0.5).alias("threshold"))
         )
         results = row if results is None else results.unionByName(row)
-    return metrics.choose_model(results)
+    return metrics.choose_model(results, ("coarse", "fine"))
 
 
 register(
     "m17_chosen_model",
     _chosen,
     _SCORED_SQL + _ranking_sql("scored", "coarse", "by_coarse") + _ranking_sql("scored", "fine", "by_fine")
-    + "\nSELECT * FROM (SELECT 'coarse' AS model, pr_auc, 0.5e0 AS threshold FROM by_coarse"
-    " UNION ALL SELECT 'fine', pr_auc, 0.5e0 FROM by_fine) ORDER BY pr_auc DESC, model DESC LIMIT 1",
+    + "\nSELECT CASE WHEN f.pr_auc > c.pr_auc THEN 'fine' ELSE 'coarse' END AS model,"
+    " greatest(c.pr_auc, f.pr_auc) AS pr_auc, 0.5e0 AS threshold FROM by_coarse c, by_fine f",
     rounded=("pr_auc",),
 )
 
@@ -281,30 +279,23 @@ register(
     rounded=("pr_auc",),
 )
 
-# --- trained products: one training run serves all of them ------------------------------------------
-
-
-@lru_cache(maxsize=4)
-def _run_for(application, folder, spark):
-    from ordergrain.catalog.registry import Inputs
-
-    return train.train_late_risk(Inputs(spark, folder).orders(*features.MODEL_COLUMNS))
+# --- trained products: every query trains on the tables as they are -----------------------------------
 
 
 def _run(i):
-    return _run_for(i.spark.sparkContext.applicationId, i.folder, i.spark)
+    return train.train_late_risk(i.orders(*features.MODEL_COLUMNS))
 
 
 def _coefficients(i):
     rows = _fit_rows(i)
     fitted = train.fit_model(rows, "logistic_regression")
-    return train.feature_importance(fitted, count=10_000)
+    return train.feature_importance(fitted, count=None)
 
 
 register("m10_logistic_regression", _coefficients)
 register(
     "m11_random_forest",
-    lambda i: train.feature_importance(train.fit_model(_fit_rows(i), "random_forest"), count=10_000),
+    lambda i: train.feature_importance(train.fit_model(_fit_rows(i), "random_forest"), count=None),
 )
 register("m12_predictions", lambda i: _run(i).predictions())
 register("m18_validation_metrics", lambda i: _run(i).validation)

@@ -62,8 +62,8 @@ r_payments AS (
 ),
 r_reviews AS (
     SELECT event_id AS review_id, event_id - event_id % 3 AS order_id,
-           CAST(1 + event_id * 7 % 5 AS INT) AS review_score
-    FROM events WHERE event_type <> 'error'
+           CAST(1 + (event_id - event_id % 3 + event_id % 2) * 7 % 5 AS INT) AS review_score
+    FROM events
 )"""
 
 _ENRICHED = """

@@ -465,12 +465,13 @@ register(
         scalar.title_text(F.concat(F.lit("month_"), "purchase_year_month")).alias("month"),
         scalar.count_text(F.col("orders")).alias("orders"),
         scalar.money_text(F.col("revenue")).alias("revenue"),
-        F.format_number("avg_review_score", 2).alias("review"),
+        scalar.number_text(F.col("avg_review_score"), 2).alias("review"),
         scalar.percent_text(F.col("late_rate")).alias("late_rate"),
     ),
     f"""SELECT 'Month ' || purchase_year_month AS month, format('{{:,}}', count(DISTINCT order_id)) AS orders,
         'R$ ' || format('{{:,}}', CAST(printf('%.0f', {PAID_SUM}) AS BIGINT)) AS revenue,
-        printf('%.2f', avg(review_score)) AS review, printf('%.1f%%', avg(is_late) * 100) AS late_rate
+        printf('%.2f', round(avg(review_score), 9)) AS review,
+        printf('%.1f%%', round(avg(is_late) * 100, 9)) AS late_rate
         FROM d GROUP BY purchase_year_month""",
 )
 

@@ -111,16 +111,25 @@ def rfm_segment(recency: Column, frequency: Column) -> Column:
     )
 
 
+# Means of doubles depend in their last bits on the order of addition; text cuts them off first.
+_TEXT_PLACES = 9
+
+
+def number_text(value: Column, places: int) -> Column:
+    return F.format_number(F.round(value, _TEXT_PLACES), places)
+
+
 def count_text(value: Column) -> Column:
     return F.format_number(value, 0)
 
 
 def money_text(value: Column, places: int = 0) -> Column:
-    return F.concat(F.lit("R$ "), F.format_number(value, places))
+    return F.concat(F.lit("R$ "), number_text(value, places))
 
 
 def percent_text(share: Column) -> Column:
-    return F.concat(F.call_function("format_number", percent(share), F.lit("0.0")), F.lit("%"))
+    cut = F.round(percent(share), _TEXT_PLACES)
+    return F.concat(F.call_function("format_number", cut, F.lit("0.0")), F.lit("%"))
 
 
 def title_text(name: Column) -> Column:

@@ -23,9 +23,6 @@ _SLICE, _PLACE, _START = "__slice", "__place", "__start"
 _BRACKET = 0.0005
 _SKETCH_ACCURACY = 10_000
 
-# Rows of a group that one task may hold at once to find a median (some ten megabytes).
-_SMALL_GROUP = 100_000
-
 
 def _sorted_slices(df: DataFrame, group_by: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
     """Rows in range partitions, with their partition and their place in it.
@@ -120,51 +117,42 @@ def running_totals(
     return _join_slice_totals(local, totals, group_by).select(*kept, *added)
 
 
-def _median_from_counts(counts: DataFrame, group_by: Sequence[str]) -> DataFrame:
-    """Median per group of rows ``(group, value, n)`` with distinct values."""
-    placed = running_totals(counts, [F.col("value")], {"n": "before"}, group_by)
-    low = F.floor((F.col("before_total") - 1) / 2)
-    high = F.floor(F.col("before_total") / 2)
-
-    def holds(place: Column) -> Column:
-        return (F.col("before") <= place) & (place < F.col("before") + F.col("n"))
-
-    return (
-        placed.where(holds(low) | holds(high))
-        .groupBy(*group_by)
-        .agg(
-            (
-                (F.max(F.when(holds(low), F.col("value"))) + F.max(F.when(holds(high), F.col("value")))) / 2
-            ).alias("median")
-        )
-    )
-
-
-def grouped_medians(
-    df: DataFrame, group_by: str, columns: Sequence[str], group_limit: int = _SMALL_GROUP
-) -> DataFrame:
+def grouped_medians(df: DataFrame, group_by: str, columns: Sequence[str]) -> DataFrame:
     """Exact median of each column per group: ``(group_by, *columns)``, null groups left out.
 
-    The built-in median holds the different values of a group in one task. It is used when no
-    group has more than ``group_limit`` rows, which one counting pass finds out. Otherwise equal
-    values are counted and sorted over range partitions, and a group may span any number of tasks.
+    Equal values are counted first, so a group's rows never meet, only its different values. Their
+    running counts are a window over sorted rows that can spill, however many there are.
     """
-    rows = df.where(F.col(group_by).isNotNull()).select(
-        group_by, *[F.col(c).cast("double").alias(c) for c in columns]
-    )
-    largest = rows.groupBy(group_by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= group_limit:
-        return rows.groupBy(group_by).agg(*[F.median(c).alias(c) for c in columns])
     counts = (
-        rows.unpivot(group_by, list(columns), "measure", "value")
-        .where(F.col("value").isNotNull())
+        df.where(F.col(group_by).isNotNull())
+        .select(group_by, *[F.col(c).cast("double").alias(c) for c in columns])
+        .unpivot(group_by, list(columns), "measure", "value")
         .groupBy(group_by, "measure", "value")
         .agg(F.count("*").alias("n"))
     )
-    medians = _median_from_counts(counts, [group_by, "measure"])
-    return medians.groupBy(group_by).agg(
-        *[F.max(F.when(F.col("measure") == c, F.col("median"))).alias(c) for c in columns]
+    everything = Window.partitionBy(group_by, "measure")
+    # Null values sort last and count for nothing, but keep a group without values in the result.
+    counted = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
+    upto = everything.orderBy(F.col("value").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumns(
+        {"n": counted, "through": F.sum(counted).over(upto), "total": F.sum(counted).over(everything)}
+    )
+    before = F.col("through") - F.col("n")
+
+    def holds(place: Column) -> Column:
+        return (before <= place) & (place < F.col("through"))
+
+    low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
+    medians = placed.groupBy(group_by).agg(
+        *[
+            (
+                (F.max(F.when(of_column & holds(low), F.col("value"))) + F.max(F.when(of_column & holds(high), F.col("value"))))
+                / 2
+            ).alias(c)
+            for c, of_column in ((c, F.col("measure") == c) for c in columns)
+        ]
     )
+    return medians
 
 
 @dataclass(frozen=True)

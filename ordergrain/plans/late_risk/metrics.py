@@ -5,6 +5,8 @@ Every function takes rows with a 0/1 label and a score column.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,13 +121,14 @@ def best_threshold(scored: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
-def choose_model(results: DataFrame, baseline: str = "dummy") -> DataFrame:
-    """The model with the highest validation average precision, the baseline excluded.
+def choose_model(results: DataFrame, candidates: Sequence[str]) -> DataFrame:
+    """The candidate with the highest validation average precision, the first listed on a tie.
 
-    Input and output rows have ``model``, ``pr_auc`` and ``threshold``.
+    Input and output rows have ``model``, ``pr_auc`` and ``threshold``; other models are left out.
     """
+    place = F.array_position(F.array(*map(F.lit, candidates)), F.col("model"))
     return (
-        results.where(F.col("model") != baseline)
-        .agg(F.max_by(F.struct("model", "pr_auc", "threshold"), F.struct("pr_auc", "model")).alias("best"))
+        results.where(place > 0)
+        .agg(F.max_by(F.struct("model", "pr_auc", "threshold"), F.struct(F.col("pr_auc"), -place)).alias("best"))
         .select("best.*")
     )

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ordergrain.operators.ranking import exact_medians
 from ordergrain.plans.kpis import delivered_orders
 from ordergrain.plans.late_risk.features import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES
-from ordergrain.plans.late_risk.train import score
+from ordergrain.plans.late_risk.train import PROBABILITY, score
+from ordergrain.session import materialize
 from ordergrain.sources.tables import literal_table
 
 # The range each numeric feature of a scenario may take, and whether its default
@@ -31,14 +32,19 @@ RANGES = {
 }
 
 
-def numeric_defaults(orders: DataFrame) -> dict[str, float | int]:
-    """Median of every numeric feature over the delivered orders."""
-    medians = exact_medians(delivered_orders(orders), NUMERIC_FEATURES)
+def _median_defaults(rows: DataFrame) -> dict[str, float | int]:
+    medians = exact_medians(rows, NUMERIC_FEATURES)
     return {
         c: int(v) if v is not None and isinstance(RANGES[c][0], int) else v for c, v in medians.items()
     }
 
 
+def numeric_defaults(orders: DataFrame) -> dict[str, float | int]:
+    """Median of every numeric feature over the delivered orders."""
+    # Stored once: the search for the medians reads its input several times.
+    return _median_defaults(materialize(delivered_orders(orders).select(*NUMERIC_FEATURES)))
+
+
 def observed_categories(orders: DataFrame) -> DataFrame:
     """``(column, value)`` of the categorical features seen in delivered orders."""
     return (
@@ -51,8 +57,9 @@ def observed_categories(orders: DataFrame) -> DataFrame:
 
 def default_scenario(orders: DataFrame) -> DataFrame:
     """One order with the median of each number and the first value of each category."""
-    first = delivered_orders(orders).agg(*[F.min(c).alias(c) for c in CATEGORICAL_FEATURES]).first()
-    return literal_table(orders.sparkSession, [{**numeric_defaults(orders), **first.asDict()}])
+    rows = materialize(delivered_orders(orders).select(*NUMERIC_FEATURES, *CATEGORICAL_FEATURES))
+    first = rows.agg(*[F.min(c).alias(c) for c in CATEGORICAL_FEATURES]).first()
+    return literal_table(orders.sparkSession, [{**_median_defaults(rows), **first.asDict()}])
 
 
 def range_violations(scenarios: DataFrame) -> DataFrame:
@@ -69,6 +76,7 @@ def valid_scenarios(scenarios: DataFrame) -> DataFrame:
 
 
 def scenario_scores(pipeline: PipelineModel, scenarios: DataFrame) -> DataFrame:
-    """Probability of lateness for every scenario within the ranges."""
+    """Every scenario with its ``violations`` and, if it has none, its probability of lateness."""
     others = [c for c in scenarios.columns if c not in FEATURES]
-    return score(pipeline, valid_scenarios(scenarios).select(*others, *FEATURES))
+    scored = score(pipeline, range_violations(scenarios.select(*others, *FEATURES)))
+    return scored.withColumn(PROBABILITY, F.when(F.size("violations") == 0, F.col(PROBABILITY)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,31 +11,45 @@ from pyspark.sql import functions as F
 from ordergrain.plans.kpis import mean_of, order_counts, per_order, purchase_span
 
 
-def table_profile(df: DataFrame, name: str) -> DataFrame:
-    """Rows, columns, rows beyond the first of equal ones, and null cells, from one scan.
+def table_size(df: DataFrame, name: str) -> DataFrame:
+    """Rows, columns and null cells, from one scan whose rows do not move."""
+    columns = df.columns
+    empty = reduce(lambda a, b: a + b, [F.col(f"`{c}`").isNull().cast("bigint") for c in columns])
+    return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(empty), F.lit(0)).alias("missing_cells")).select(
+        F.lit(name).alias("table"), "rows", F.lit(len(columns)).alias("columns"), "missing_cells"
+    )
+
+
+def duplicate_rows(df: DataFrame, name: str) -> DataFrame:
+    """Rows beyond the first of equal ones.
 
     Equal rows collapse before the shuffle, so any number of copies of one row is cheap.
     """
-    columns = df.columns
-    copies = df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count("*").alias("__copies"))
-    empty = reduce(lambda a, b: a + b, [F.col(f"`{c}`").isNull().cast("int") for c in columns])
-    total = F.coalesce(F.sum("__copies"), F.lit(0))
-    return copies.agg(
-        total.alias("rows"),
-        (total - F.count("*")).alias("duplicate_rows"),
-        F.coalesce(F.sum(F.col("__copies") * empty), F.lit(0)).alias("missing_cells"),
-    ).select(
-        F.lit(name).alias("table"),
-        "rows",
-        F.lit(len(columns)).alias("columns"),
-        "duplicate_rows",
-        "missing_cells",
-    )
+    copies = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("__copies"))
+    beyond = F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicate_rows")
+    return copies.agg(beyond).select(F.lit(name).alias("table"), "duplicate_rows")
+
+
+def _of_all(profile: Callable[[DataFrame, str], DataFrame], tables: Mapping[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [profile(df, name) for name, df in tables.items()])
+
+
+def table_sizes(tables: Mapping[str, DataFrame]) -> DataFrame:
+    return _of_all(table_size, tables)
+
+
+def table_duplicates(tables: Mapping[str, DataFrame]) -> DataFrame:
+    return _of_all(duplicate_rows, tables)
+
+
+def table_profile(df: DataFrame, name: str) -> DataFrame:
+    """Rows, columns, rows beyond the first of equal ones, and null cells of one table."""
+    return table_profiles({name: df})
 
 
 def table_profiles(tables: Mapping[str, DataFrame]) -> DataFrame:
-    profiles = [table_profile(df, name) for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, profiles)
+    both = table_sizes(tables).join(table_duplicates(tables), "table")  # one row per table
+    return both.select("table", "rows", "columns", "duplicate_rows", "missing_cells")
 
 
 def order_profile(orders: DataFrame) -> DataFrame:

@@ -51,8 +51,8 @@ def executive_summary(orders: DataFrame, customers: DataFrame) -> DataFrame:
             scalar.money_text(F.col("avg_order_value"), 2).alias("average_order_value"),
             scalar.percent_text(F.col("late_rate")).alias("late_rate"),
             scalar.percent_text(F.col("repeat_rate")).alias("repeat_rate"),
-            F.format_number("review.on_time_review", 2).alias("on_time_review"),
-            F.format_number("review.late_review", 2).alias("late_review"),
+            scalar.number_text(F.col("review.on_time_review"), 2).alias("on_time_review"),
+            scalar.number_text(F.col("review.late_review"), 2).alias("late_review"),
             F.col("category.primary_category").alias("top_category"),
             scalar.money_text(F.col("category.revenue")).alias("top_category_revenue"),
             scalar.count_text(F.col("category.orders")).alias("top_category_orders"),
@@ -69,8 +69,8 @@ def model_summary(metrics: DataFrame) -> DataFrame:
         scalar.title_text(F.col("selected_model")).alias("selected_model"),
         scalar.count_text(F.col("test_rows")).alias("test_rows"),
         *[
-            F.format_number(f"test.{name}", 3).alias(name)
+            scalar.number_text(F.col(f"test.{name}"), 3).alias(name)
             for name in ("pr_auc", "roc_auc", "precision", "recall", "f1")
         ],
-        F.format_number("selected_threshold", 2).alias("threshold"),
+        scalar.number_text(F.col("selected_threshold"), 2).alias("threshold"),
     )

@@ -113,10 +113,10 @@ def _payments(read: Reader) -> DataFrame:
 
 
 def _reviews(read: Reader) -> DataFrame:
-    return read("events").where("event_type <> 'error'").selectExpr(
+    return read("events").selectExpr(
         "event_id AS review_id",
         "event_id - event_id % 3 AS order_id",
-        "CAST(1 + event_id * 7 % 5 AS INT) AS review_score",
+        "CAST(1 + (event_id - event_id % 3 + event_id % 2) * 7 % 5 AS INT) AS review_score",
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,53 +28,79 @@ def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     types: dict[str, str],
     *,
     line_breaks: bool = True,
 ) -> DataFrame:
-    """Read one CSV by its header; every cell starts as text, so column order is free.
+    """Read a CSV by its header; every cell starts as text, so column order is free.
 
-    ``line_breaks`` accepts quoted cells that span lines. Such a file cannot be split, so it is
-    one task; without them Spark reads a large file in parallel.
+    The parts of one table must have equal headers, or reading them fails. ``line_breaks`` accepts
+    quoted cells that span lines. Such a file cannot be split, so each part is one task; without them
+    Spark reads a large file in parallel.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"')
     reader = reader.option("multiLine", line_breaks)
     return _typed(reader.csv(path), types)
 
 
-def find_sources(spark: SparkSession, folder: str, *, search: bool = False) -> dict[str, str]:
-    """Path of each source table's file in ``folder``, for the tables that are there.
+def _source_of(path: str, folder: str, prefix: str, search: bool) -> tuple[str, str] | None:
+    """Table and place (the file, or the folder of its parts) of one CSV file; None if it is foreign.
 
-    ``search`` also looks in the folders below. Of several fitting files the first in path order
-    counts. Only names are listed; no file is opened.
+    A table is the file ``<prefix><file name>``, with or without a part number before the ending
+    (``orders_dataset-00001.csv``), or any CSV file in a folder of that name with or without the ending.
+    """
+    *folders, file = path.removeprefix(folder).strip("/").split("/")
+    for table, name in SOURCE_FILES.items():
+        stem = re.escape((prefix + name).removesuffix(".csv"))
+        if folders and re.fullmatch(rf"{stem}(\.csv)?", folders[-1]) and (search or len(folders) == 1):
+            return table, path.rsplit("/", 1)[0]
+        if not folders or search:
+            if re.fullmatch(rf"{stem}\.csv", file):
+                return table, path
+            if re.fullmatch(rf"{stem}[-_.]\d+\.csv", file):
+                return table, path.rsplit("/", 1)[0]
+    return None
+
+
+def find_sources(spark: SparkSession, folder: str, *, prefix: str = "", search: bool = False) -> dict[str, list[str]]:
+    """All files of each source table in ``folder``, for the tables that are there.
+
+    Names have to fit exactly. ``search`` also looks in all folders below. A table found in two
+    places (two files, two folders, or a file and parts) is ambiguous and raises. Only names are
+    listed; no file is opened. The driver holds the names of the CSV files.
     """
-    # Longest ending first: some endings are the tail of others.
-    endings = sorted(SOURCE_FILES.items(), key=lambda item: -len(item[1]))
-    table = F.coalesce(*[F.when(F.col("path").endswith(end), F.lit(name)) for name, end in endings])
     listing = (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", search)
+        .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .load(folder)
-        .select(table.alias("table"), "path")
-        .where(F.col("table").isNotNull())
-        .groupBy("table")
-        .agg(F.min("path").alias("path"))
+        .select(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path"))
     )
-    return {row["table"]: row["path"] for row in listing.collect()}  # at most nine rows
+    root = re.sub(r"^file:/*", "/", folder).rstrip("/")
+    found: dict[str, dict[str, list[str]]] = {}
+    for row in listing.collect():
+        path = re.sub(r"^file:/*", "/", row["path"])
+        source = _source_of(path, root, prefix, search)
+        if source:
+            found.setdefault(source[0], {}).setdefault(source[1], []).append(path)
+    for table, places in found.items():
+        if len(places) > 1:
+            raise ValueError(f"Source table {table} is in several places: " + ", ".join(sorted(places)))
+    return {table: sorted(*places.values()) for table, places in found.items()}
 
 
 def read_sources(
     spark: SparkSession,
     folder: str,
     *,
+    prefix: str = "",
     search: bool = False,
     free_text: tuple[str, ...] = FREE_TEXT_TABLES,
 ) -> dict[str, DataFrame]:
-    """The nine source tables; names every missing file before reading any."""
-    paths = find_sources(spark, folder, search=search)
-    missing = [end for table, end in SOURCE_FILES.items() if table not in paths]
+    """The nine source tables, each with all its parts; names every missing file before reading any."""
+    paths = find_sources(spark, folder, prefix=prefix, search=search)
+    missing = [prefix + name for table, name in SOURCE_FILES.items() if table not in paths]
     if missing:
         raise FileNotFoundError("Missing source files: " + ", ".join(missing))
     return {

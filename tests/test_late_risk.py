@@ -190,7 +190,13 @@ def test_equal_f1_takes_the_lowest_threshold(spark):
 
 def test_model_choice_ignores_the_baseline(table):
     results = table("model string, pr_auc double, threshold double", ("dummy", 0.9, 0.5), ("a", 0.2, 0.1), ("b", 0.3, 0.2))
-    assert tuple(metrics.choose_model(results).first()) == ("b", 0.3, 0.2)
+    assert tuple(metrics.choose_model(results, ("a", "b")).first()) == ("b", 0.3, 0.2)
+
+
+def test_the_first_of_equal_models_is_chosen(table):
+    results = table("model string, pr_auc double, threshold double", ("x", 0.3, 0.1), ("dummy", 0.3, 0.5), ("b", 0.3, 0.2), ("a", 0.3, 0.4))
+    assert metrics.choose_model(results, ("b", "x", "a")).first()["model"] == "b"
+    assert train.CANDIDATES[0] == "logistic_regression"
 
 
 # --- models ------------------------------------------------------------------------------------------
@@ -289,6 +295,8 @@ def test_scenarios(run, orders, table):
 
     broken = default.withColumn("item_count", F.lit(21)).withColumn("estimated_days", F.lit(0.5))
     assert scenario.range_violations(broken).first()["violations"] == ["item_count", "estimated_days"]
+    rejected = scenario.scenario_scores(run.fitted.pipeline, broken).first()
+    assert rejected["late_probability"] is None and rejected["violations"] == ["item_count", "estimated_days"]
     assert scenario.valid_scenarios(broken).count() == 0
     assert scenario.valid_scenarios(default.withColumn("purchase_hour", F.lit(23))).count() == 1
     seen = {(r["column"], r["value"]) for r in scenario.observed_categories(orders).collect()}

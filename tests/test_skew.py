@@ -132,7 +132,7 @@ def test_hot_zip_median(tables):
     points = tables["geolocation"].toDF("zip", "lat", "lng")
     got = {
         r["zip"]: (r["lat"], r["lng"])
-        for r in grouped_medians(points, "zip", ["lat", "lng"], group_limit=1000).collect()
+        for r in grouped_medians(points, "zip", ["lat", "lng"]).collect()
     }
     assert got == {r["zip"]: (r["lat"], r["lng"]) for r in zip_centroids(tables["geolocation"]).collect()}
     expected = {

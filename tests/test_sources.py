@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from commerce import commerce_tables
+from pyspark.sql import functions as F
 
 from ordergrain.plans import kpis
 from ordergrain.plans.enrich import enrich_orders
@@ -24,14 +25,14 @@ def test_all_missing_files_are_named(spark, folder):
         (folder / f"shop_{SOURCE_FILES[name]}").unlink()
     for search in (False, True):
         with pytest.raises(FileNotFoundError) as error:
-            readers.read_sources(spark, str(folder), search=search)
+            readers.read_sources(spark, str(folder), prefix="shop_", search=search)
         assert SOURCE_FILES["sellers"] in str(error.value) and SOURCE_FILES["items"] in str(error.value)
 
 
 @pytest.mark.parametrize("search", [False, True])
 def test_csv_sources_give_the_same_enriched_table(spark, folder, search):
     source = folder.parent.parent if search else folder
-    loaded = readers.read_sources(spark, str(source), search=search)
+    loaded = readers.read_sources(spark, str(source), prefix="shop_", search=search)
     for name, types in SOURCE_TYPES.items():
         assert all(dict(loaded[name].dtypes)[c] == t for c, t in types.items())
     expected = enrich_orders(commerce_tables(spark)).orderBy("order_id").collect()
@@ -39,11 +40,47 @@ def test_csv_sources_give_the_same_enriched_table(spark, folder, search):
     assert got == expected
 
 
-def test_search_takes_one_of_several_files(spark, folder):
+def test_a_table_in_two_places_is_ambiguous(spark, folder):
     copy = folder.parent / "z"
     copy.mkdir()
     (copy / f"shop_{SOURCE_FILES['items']}").write_text((folder / f"shop_{SOURCE_FILES['items']}").read_text())
-    assert readers.read_sources(spark, str(folder.parent), search=True)["items"].count() == 7
+    with pytest.raises(ValueError, match="items"):
+        readers.read_sources(spark, str(folder.parent), prefix="shop_", search=True)
+    assert readers.read_sources(spark, str(folder), prefix="shop_")["items"].count() == 7
+
+
+@pytest.mark.parametrize("layout", ["numbered", "folder", "folder.csv"])
+def test_all_parts_of_a_table_are_read(spark, folder, layout):
+    whole = folder / f"shop_{SOURCE_FILES['reviews']}"
+    whole.unlink()
+    stem = whole.name.removesuffix(".csv")
+    parts = [folder / f"{stem}-00000.csv", folder / f"{stem}-00001.csv"]
+    if layout != "numbered":
+        below = folder / stem if layout == "folder" else whole
+        below.mkdir()
+        parts = [below / "part-a.csv", below / "part-b.csv"]
+    parts[0].write_text("review_id,order_id,review_score\nr1,o1,5\nr2,o2,4\n")
+    parts[1].write_text("review_id,order_id,review_score\nr3,o3,3\nr4,o4,2\nr5,o5,1\n")
+    reviews = readers.read_sources(spark, str(folder), prefix="shop_")["reviews"]
+    assert sorted(r["review_id"] for r in reviews.collect()) == ["r1", "r2", "r3", "r4", "r5"]
+    assert len({r[0] for r in reviews.select(F.spark_partition_id()).collect()}) == 2
+
+
+def test_parts_with_other_headers_are_refused(spark, folder):
+    whole = folder / f"shop_{SOURCE_FILES['sellers']}"
+    whole.unlink()
+    stem = whole.name.removesuffix(".csv")
+    (folder / f"{stem}-0.csv").write_text("seller_id,seller_state\ns1,SP\n")
+    (folder / f"{stem}-1.csv").write_text("seller_state,seller_id\nSP,s2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_sources(spark, str(folder), prefix="shop_")["sellers"].collect()
+
+
+def test_foreign_files_are_not_taken(spark, folder):
+    (folder / "returned_orders_dataset.csv").write_text("order_id\nx\n")
+    (folder / "shop_orders_dataset_old.csv").write_text("order_id\nx\n")
+    expected = commerce_tables(spark)["orders"].count()
+    assert readers.read_sources(spark, str(folder), prefix="shop_")["orders"].count() == expected
 
 
 def test_quoted_cells(spark, tmp_path):
