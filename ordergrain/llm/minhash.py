@@ -9,10 +9,12 @@ still reach the threshold (five standard errors) is confirmed on the full sets.
 
 At the threshold of 0.85 a pair meets in none of the 25 bands with a chance of 4 in 10 million.
 
-Only components are asked for, so not all pairs are confirmed. Documents with equal sets are one to
-begin with. In every round each document sends its most similar partners outside its component, 1,
-then 8, then 64, then all that are left, to be confirmed; bands whose documents are in one component
-drop out. A band with over ``CHUNK`` documents is cut into chunks, each pair of which is a unit.
+Only components are asked for, so pairs need not be confirmed within one. Documents with equal sets
+are one to begin with. First each document is confirmed with its likeliest partner; this joins most of
+a group. Then the documents that may still link with another component come with their
+texts, and all such pairs are confirmed where the documents meet, so that a large group costs its
+members' texts, not its pairs'. A band with over ``CHUNK`` documents is cut into chunks, each pair of
+which is a unit of work.
 
 Defined results: null and empty texts and texts without words have an empty set and link with
 nothing; rows with a null id link with nothing and have a null component; repeated rows share their
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordergrain.llm.graph import components
+from ordergrain.llm.graph import components, local_roots
 from ordergrain.llm.storage import stored
 from ordergrain.llm.textbytes import Texts, combine, mix, ragged, row_of, row_slices, signed, texts_of, words_of
 
@@ -38,8 +40,7 @@ WORDS = 5
 REGISTERS, MANTISSA, BAND = 128, 10, 5
 BANDS = REGISTERS // BAND
 EMPTY = np.uint16(0xFFFF)
-CHUNK, GROUP_ROWS, SLAB_PAIRS = 512, 8192, 1 << 16
-LIMITS = (1, 8, 64, 1 << 62)
+CHUNK, GROUP_ROWS, GROUP_TEXTS, SLAB_PAIRS = 512, 8192, 1024, 1 << 16
 
 
 def shingles(texts: Texts, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -162,66 +163,127 @@ def _bands(classes: DataFrame, kind: str) -> DataFrame:
     return classes.select("rep", "sketch").mapInArrow(run, f"band long, rep {kind}")
 
 
-def _candidates(members: DataFrame, classes: DataFrame, labels: DataFrame, limit: int, threshold: float, kind: str) -> DataFrame:
-    """Pairs (a, b) of different components that may reach the threshold.
+def _pairs(band, i, j, reps, label, sizes, chunk, sketches, threshold):
+    """Pairs of rows that may reach the threshold, in slabs: rows x and y, and the estimate.
 
-    At most ``limit`` per document and unit; ``cut`` tells that a unit had more.
+    The rows are sorted by band, i, j and rep. Only pairs of one unit (band, i, j) and of different
+    labels are formed, and only in the first band in which they meet.
     """
-    labelled = members.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    edges = np.flatnonzero((band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+    edges = np.concatenate([[0], edges, [len(band)]])
+    partners = edges[row_of(edges) + 1] - np.arange(len(band)) - 1
+    ends, keys, start = np.cumsum(partners), None, 0
+    while start < len(band):
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] - partners[start] + SLAB_PAIRS, "right")))
+        x = np.repeat(np.arange(start, stop), partners[start:stop])
+        y = ragged(np.arange(start, stop) + 1, partners[start:stop])
+        start = stop
+        # Sets of very different size cannot be similar.
+        large, small = np.maximum(sizes[x], sizes[y]), np.minimum(sizes[x], sizes[y])
+        apart = (label[x] != label[y]) & ((i[x] == j[x]) | (chunk[x] != chunk[y])) & (small >= threshold * large)
+        x, y = x[apart], y[apart]
+        estimate, used = estimates(sketches[x], sketches[y], sizes[x], sizes[y])
+        slack = 5 * np.sqrt(threshold * (1 - threshold) / np.maximum(used, 1)) + 1 / np.maximum(used, 1)
+        good = estimate >= threshold - slack
+        if good.any():
+            x, y, estimate = x[good], y[good], estimate[good]
+            keys = band_keys(sketches) if keys is None else keys
+            meeting = (keys[x] == keys[y]).argmax(axis=1)
+            first = signed(keys[x, meeting]) == band[x]
+            yield x[first], y[first], estimate[first]
+
+
+def _units(meeting: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents of bands with different labels, once per pair of chunks that holds them."""
+    labelled = meeting.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     mixed = labelled.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("size"))
     mixed = mixed.where("x <> y").select("band", F.ceil(F.col("size") / CHUNK).alias("chunks"))
     cut = labelled.join(mixed, "band").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
-    units = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).select(
+    return cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).select(
         "rep", "label", "band", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")
     )
-    units = stored(units)
-    group = F.pmod(F.xxhash64("band", "i", "j"), F.lit(units.count() // GROUP_ROWS + 1)).alias("g")
-    work = units.join(classes.select("rep", "n", "sketch"), "rep").select("*", group)
+
+
+def _group(rows: int, size: int):
+    return F.pmod(F.xxhash64("band", "i", "j"), F.lit(rows // size + 1)).alias("g")
+
+
+_SORTED = ("band", "i", "j", "rep", "label", "chunk")
+
+
+def _in_order(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    columns = [table.column(c).to_numpy() for c in _SORTED]
+    order = np.lexsort(columns[3::-1])
+    return order, [c[order] for c in columns]
+
+
+def _likeliest(units: DataFrame, classes: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """For every document and unit the pair (a, b) with its most similar partner."""
 
     def compare(table: pa.Table) -> pa.Table:
-        names = ["band", "i", "j", "rep", "label", "n", "chunk"]
-        columns = [table.column(c).to_numpy() for c in names]
-        order = np.lexsort(columns[3::-1])
-        band, i, j, reps, label, sizes, chunk = (c[order] for c in columns)
-        sketches = _sketches_of(table.column("sketch"))[order]
-        edges = np.flatnonzero((band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-        edges = np.concatenate([[0], edges, [len(band)]])
-        unit = row_of(edges)
-        partners = edges[unit + 1] - np.arange(len(band)) - 1
-        ends = np.cumsum(partners)
-        keys, found, start = None, [], 0
-        while start < len(band):
-            stop = max(start + 1, int(np.searchsorted(ends, ends[start] - partners[start] + SLAB_PAIRS, "right")))
-            x = np.repeat(np.arange(start, stop), partners[start:stop])
-            y = ragged(np.arange(start, stop) + 1, partners[start:stop])
-            start = stop
-            # Sets of very different size cannot be similar.
-            large, small = np.maximum(sizes[x], sizes[y]), np.minimum(sizes[x], sizes[y])
-            apart = (label[x] != label[y]) & ((i[x] == j[x]) | (chunk[x] != chunk[y])) & (small >= threshold * large)
-            x, y = x[apart], y[apart]
-            estimate, used = estimates(sketches[x], sketches[y], sizes[x], sizes[y])
-            slack = 5 * np.sqrt(threshold * (1 - threshold) / np.maximum(used, 1)) + 1 / np.maximum(used, 1)
-            good = estimate >= threshold - slack
-            if good.any():
-                x, y, estimate = x[good], y[good], estimate[good]
-                keys = band_keys(sketches) if keys is None else keys
-                meeting = (keys[x] == keys[y]).argmax(axis=1)
-                first = signed(keys[x, meeting]) == band[x]
-                found.append((x[first], y[first], estimate[first]))
-        if not found:
-            return pa.Table.from_arrays([pa.array(reps[:0]), pa.array(reps[:0]), pa.array([], pa.bool_())], ["a", "b", "cut"])
-        x, y, estimate = map(np.concatenate, zip(*found))
+        order, (band, i, j, reps, label, chunk) = _in_order(table)
+        sizes, sketches = table.column("n").to_numpy()[order], _sketches_of(table.column("sketch"))[order]
+        found = list(_pairs(band, i, j, reps, label, sizes, chunk, sketches, threshold))
+        x, y, estimate = map(np.concatenate, zip(*found)) if found else [np.zeros(0, np.int64)] * 3
         keep = np.zeros(len(x), dtype=bool)
         for end in (x, y):
-            order = np.lexsort((-estimate, end))
-            turn = np.arange(len(order)) - np.searchsorted(end[order], end[order])
-            keep[order[turn < limit]] = True
-        cut_units = np.unique(unit[x[~keep]])
-        x, y = x[keep], y[keep]
-        return pa.Table.from_arrays([pa.array(reps[x]), pa.array(reps[y]), pa.array(np.isin(unit[x], cut_units))], ["a", "b", "cut"])
+            by_end = np.lexsort((-estimate, end))
+            keep[by_end[np.searchsorted(end[by_end], np.unique(end))]] = True
+        return pa.Table.from_arrays([pa.array(reps[x[keep]]), pa.array(reps[y[keep]])], ["a", "b"])
+
+    work = units.join(classes.select("rep", "n", "sketch"), "rep").select("*", _group(units.count(), GROUP_ROWS))
+    return work.groupBy("g").applyInArrow(compare, f"a {kind}, b {kind}").distinct()
+
 
-    pairs = work.groupBy("g").applyInArrow(compare, f"a {kind}, b {kind}, cut boolean")
-    return pairs.groupBy("a", "b").agg(F.max("cut").alias("cut"))
+def _undecided(units: DataFrame, classes: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """The rows of ``units`` whose document may link with another label's document in the unit."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        order, (band, i, j, reps, label, chunk) = _in_order(table)
+        sizes, sketches = table.column("n").to_numpy()[order], _sketches_of(table.column("sketch"))[order]
+        open_ = np.zeros(len(band), dtype=bool)
+        for x, y, _ in _pairs(band, i, j, reps, label, sizes, chunk, sketches, threshold):
+            open_[x] = open_[y] = True
+        return pa.Table.from_arrays([pa.array(c[open_]) for c in (band, i, j, reps, label, chunk)], list(_SORTED))
+
+    work = units.join(classes.select("rep", "n", "sketch"), "rep").select("*", _group(units.count(), GROUP_ROWS))
+    return work.groupBy("g").applyInArrow(compare, f"band long, i long, j long, rep {kind}, label {kind}, chunk long")
+
+
+def _links_of_units(rows: DataFrame, texts: DataFrame, words: int, percent: int, kind: str) -> DataFrame:
+    """Links (a, b) that connect the documents of a unit as all their confirmed links do."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        order, (band, i, j, reps, label, chunk) = _in_order(table)
+        owner, hashes = shingles(texts_of(table.column("text").take(pa.array(order))), words)
+        sizes = np.bincount(owner, minlength=len(order))
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        sketches = registers(owner, hashes, len(order))
+        distinct, element = np.unique(hashes, return_inverse=True)
+        marked = np.zeros(len(distinct), dtype=bool)
+        left, right = [], []
+        for x, y, _ in _pairs(band, i, j, reps, label, sizes, chunk, sketches, percent / 100):
+            by_x = np.argsort(x, kind="stable")
+            x, y = x[by_x], y[by_x]
+            for part in np.split(np.arange(len(x)), np.flatnonzero(np.diff(x)) + 1):
+                if len(part):
+                    a, b = x[part[0]], y[part]
+                    own = element[ends[a] : ends[a + 1]]
+                    marked[own] = True
+                    inside = np.concatenate([[0], np.cumsum(marked[element[ragged(ends[b], sizes[b])]])])
+                    marked[own] = False
+                    stops = np.cumsum(sizes[b])
+                    shared = inside[stops] - inside[stops - sizes[b]]
+                    linked = b[100 * shared >= percent * (sizes[a] + sizes[b] - shared)]
+                    left.append(np.full(len(linked), a))
+                    right.append(linked)
+        left, right = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (left, right))
+        roots = local_roots(len(order), left, right)
+        moved = np.flatnonzero(roots != np.arange(len(order)))
+        return pa.Table.from_arrays([pa.array(reps[moved]), pa.array(reps[roots[moved]])], ["a", "b"])
+
+    work = rows.join(texts, "rep").select("*", _group(rows.count(), GROUP_TEXTS))
+    return work.groupBy("g").applyInArrow(compare, f"a {kind}, b {kind}").distinct()
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int, kind: str) -> DataFrame:
@@ -245,6 +307,10 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int, kind:
     return both.mapInArrow(run, f"a {kind}, b {kind}, linked boolean")
 
 
+def _labels(links: DataFrame) -> DataFrame:
+    return components(links, "a", "b").select(F.col("id").alias("rep"), F.col("component").alias("label"))
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = 85
 ) -> DataFrame:
@@ -261,19 +327,13 @@ def near_duplicates(
     keyed = docs.select(F.col(key).alias("rep"), F.col(text).alias("text")).where("rep IS NOT NULL")
     texts = stored(keyed.join(wanted, "rep").groupBy("rep").agg(F.min("text").alias("text")))
     same = members.where("key <> rep").select(F.col("key").alias("a"), F.col("rep").alias("b"))
-    checked, links = None, same
-    for limit in LIMITS:
-        labels = components(links, "a", "b").select(F.col("id").alias("rep"), F.col("component").alias("label"))
-        candidates = stored(_candidates(meeting, classes, labels, limit, percent / 100, kind))
-        pairs = candidates.select("a", "b")
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        found = stored(_confirm(pairs, texts, words, percent, kind))
-        checked = found.select("a", "b") if checked is None else checked.unionAll(found.select("a", "b"))
-        links = links.unionAll(found.where("linked").select("a", "b"))
-        if candidates.where("cut").isEmpty():
-            break
-    labels = components(links, "a", "b").select(F.col("id").alias("rep"), F.col("component").alias("label"))
+    units = stored(_units(meeting, _labels(same)))
+    nearest = stored(_likeliest(units, classes, percent / 100, kind))
+    links = same.unionAll(stored(_confirm(nearest, texts, words, percent, kind)).where("linked").select("a", "b"))
+    units = stored(_units(meeting, _labels(links)))
+    rest = stored(_undecided(units, classes, percent / 100, kind))
+    links = links.unionAll(stored(_links_of_units(rest, texts, words, percent, kind)))
+    labels = _labels(links)
     rows = sketched.select("key", "n").join(labels.withColumnRenamed("rep", "key"), "key", "left")
     component = F.coalesce("label", "key")
     return rows.select(
