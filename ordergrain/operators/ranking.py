@@ -18,9 +18,9 @@ from ordergrain.session import materialize
 
 _SLICE, _PLACE, _START = "__slice", "__place", "__start"
 
-# Half-width, as a share of the rows, of the bracket searched for an order statistic, and the
-# accuracy of the sketch that finds it (rank error at most 1/accuracy, within the bracket).
-_BRACKET = 0.0005
+# Half-widths, as a share of the rows, of the bracket searched for an order statistic, tried in turn,
+# and the accuracy of the sketch that finds it (rank error at most 1/accuracy, within the bracket).
+_BRACKETS = (0.0005, 0.02, 1.0)
 _SKETCH_ACCURACY = 10_000
 
 
@@ -163,12 +163,14 @@ class Place:
     position: int
 
 
-def _brackets(df: DataFrame, places: Sequence[Place], counts: Mapping[str, int]) -> dict[str, list[tuple]]:
+def _brackets(
+    df: DataFrame, places: Sequence[Place], counts: Mapping[str, int], width: float
+) -> dict[str, list[tuple]]:
     """Disjoint value ranges per column that contain every requested position."""
     sketches, spans = [], []
     for place in places:
         total = counts[place.column]
-        margin = _BRACKET + 2.0 / total
+        margin = width + 2.0 / total
         share = (place.position + 0.5) / total
         bounds = [max(0.0, share - margin), min(1.0, share + margin)]
         sketches.append(F.percentile_approx(place.column, bounds, _SKETCH_ACCURACY).alias(f"b{len(spans)}"))
@@ -199,8 +201,9 @@ def order_statistics(
     equal values are ordered by ``tie_key`` when it is given.
 
     A quantile sketch brackets each position, one scan counts the rows below the brackets, and
-    only the rows inside a bracket (about a thousandth, plus ties) are ranked. ``df`` is read
-    several times: pass stored rows. The driver receives one row per position.
+    only the rows inside a bracket (about a thousandth, plus ties) are ranked. Should a position lie
+    outside its bracket, wider ones follow, the last of which holds all rows. ``df`` is read several
+    times: pass stored rows. The driver receives one row per position.
     """
     columns = list(targets)
     tie = [F.col(tie_key).alias("tie")] if tie_key else []
@@ -209,7 +212,18 @@ def order_statistics(
     places = [Place(c, p) for c in columns if counts[c] for p in targets[c](counts[c])]
     if not places:
         return {}
-    brackets = _brackets(narrow, places, counts)
+    for width in _BRACKETS:
+        answers = _search(narrow, places, counts, tie_key, width)
+        if answers is not None:
+            return answers
+    raise RuntimeError("The input of an order statistic changed while it was read")
+
+
+def _search(
+    narrow: DataFrame, places: Sequence[Place], counts: Mapping[str, int], tie_key: str | None, width: float
+) -> dict[Place, tuple] | None:
+    """The keys at all places, or None if one lies outside its bracket."""
+    brackets = _brackets(narrow, places, counts, width)
     numbered = [(c, low, high) for c, ranges in brackets.items() for low, high in ranges]
     below = narrow.agg(
         *[F.count(F.when(F.col(c) < low, 1)).alias(f"b{i}") for i, (c, low, _) in enumerate(numbered)]
@@ -232,9 +246,10 @@ def order_statistics(
 
     wanted: dict[tuple[int, int], Place] = {}
     for place in dict.fromkeys(places):
-        home = max(
-            i for i, (c, _, _) in enumerate(numbered) if c == place.column and below[i] <= place.position
-        )
+        homes = [i for i, (c, _, _) in enumerate(numbered) if c == place.column and below[i] <= place.position]
+        if not homes:
+            return None
+        home = max(homes)
         wanted[home, place.position - below[home]] = place
 
     def covers(offset: int) -> Column:
@@ -249,9 +264,7 @@ def order_statistics(
         for (bracket, offset), place in wanted.items():
             if bracket == row["bracket"] and row["before"] <= offset < row["before"] + row["n"]:
                 answers[place] = (row["value"], row["tie"] if tie_key else None)
-    if len(answers) != len(wanted):
-        raise RuntimeError("An order statistic fell outside its bracket")
-    return answers
+    return answers if len(answers) == len(wanted) else None
 
 
 def _median_places(total: int) -> list[int]:

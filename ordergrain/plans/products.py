@@ -39,7 +39,7 @@ def write_model_products(orders: DataFrame, folder: str, **forest_options: int)
     save_model(run.fitted.pipeline, f"{folder}/model")
 
 
-SUMMARIES = ("monthly", "category", "state", "cohort", "rfm", "importance")
+SUMMARIES = ("monthly", "category", "state", "cohort", "rfm", "predictions", "importance")
 
 
 def read_products(spark: SparkSession, folder: str, *, keep: bool = False) -> dict[str, DataFrame]:

@@ -6,6 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from ordergrain.operators import ranking
 from ordergrain.operators.ranking import (
     Place,
     exact_medians,
@@ -129,3 +130,9 @@ def test_results_are_the_same_for_any_partitioning(table):
         for df in (base.coalesce(1), base.repartition(13))
     )
     assert one == many
+
+
+def test_a_missed_bracket_is_widened(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "_BRACKETS", (-0.4, 1.0))
+    df = spark.range(1000).selectExpr("CAST(id AS double) AS v")
+    assert ranking.exact_medians(df, ["v"]) == {"v": 499.5}
