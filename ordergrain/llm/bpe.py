@@ -32,6 +32,7 @@ from ordergrain.llm.textbytes import Texts, mix, ragged, row_slices, span_hashes
 SHORT = 64
 CACHE_SLOTS = 1 << 20
 CACHE_IDS = 1 << 23
+LARGEST_FILE = 64 << 20
 _NONE = np.int32(2**31 - 1)
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 
@@ -352,9 +353,11 @@ def _encoder(source: bytes) -> Encoder:
 
 
 class Vocabulary:
-    """A vocabulary file, read on the driver and sent to the executors (about 1.5 MB)."""
+    """A vocabulary file, read on the driver and sent to the executors; ``LARGEST_FILE`` bounds it."""
 
     def __init__(self, spark, path: str) -> None:
+        if Path(path).stat().st_size > LARGEST_FILE:
+            raise ValueError(f"{path} is over {LARGEST_FILE} bytes")
         self._sent = spark.sparkContext.broadcast(Path(path).read_bytes())
 
     def encoder(self) -> Encoder:

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ordergrain.session import _ensure_checkpoint_dir
 
 
+_STORED: list[str] = []
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new path below the folder that driver and executors share."""
     _ensure_checkpoint_dir(spark)
@@ -21,13 +24,26 @@ def scratch_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet and read back: lineage ends there, lost executors cost nothing.
 
-    The table stays until the shared folder is emptied, because later plans may still read it.
+    The table stays until :func:`drop_stored`, because later plans may still read it.
     """
     path = scratch_folder(df.sparkSession)
+    _STORED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(spark: SparkSession) -> int:
+    """Deletes the intermediate tables of this process and returns their number.
+
+    To be called when all results that were computed from them have been written.
+    """
+    gone = 0
+    while _STORED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
+
+
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once per application, so that no path has to be set."""
     context = spark.sparkContext
