@@ -48,7 +48,6 @@ LEAST_WORDS = 10
 CACHED_WORDS = 200_000
 THRESHOLD = 0.5
 _LETTERS = re.compile(r"[^\W\d_]+")
-_SHAPE = ((re.compile(r"[^\W\d_]"), lambda m: "A" if m.group().isupper() else "a"), (re.compile(r"\d"), "0"))
 _REPEATS = re.compile(r"([Aa0])\1+")
 
 
@@ -57,6 +56,18 @@ def _bucket(name: str, word: bool = False) -> int:
     return zlib.crc32(name.encode("utf-8", "replace")) % (BUCKETS // 2) + (0 if word else BUCKETS // 2)
 
 
+class _Classes(dict):
+    """For ``str.translate``: letters become A or a, digits 0, other characters stay."""
+
+    def __missing__(self, code: int) -> str:
+        char = chr(code)
+        self[code] = found = ("A" if char.isupper() else "a") if char.isalpha() else "0" if char.isdecimal() else char
+        return found
+
+
+_CLASSES = _Classes()
+
+
 class Featurizer:
     """Feature buckets of texts; what a word contributes is remembered for the most recent words."""
 
@@ -64,26 +75,20 @@ class Featurizer:
         self._known: dict[str, tuple[tuple[int, ...], str]] = {}
 
     def _word(self, word: str) -> tuple[tuple[int, ...], str]:
-        found = self._known.get(word)
-        if found is None:
-            shape = word[:40]
-            for pattern, put in _SHAPE:
-                shape = pattern.sub(put, shape)
-            parts = tuple(_bucket(x.lower(), word=True) for x in _LETTERS.findall(word))
-            found = parts, _REPEATS.sub(r"\1", shape)
-            if len(self._known) >= CACHED_WORDS:
-                self._known.clear()
-            self._known[word] = found
+        parts = tuple(_bucket(x.lower(), word=True) for x in _LETTERS.findall(word))
+        if len(self._known) >= CACHED_WORDS:
+            self._known.clear()
+        self._known[word] = found = parts, _REPEATS.sub(r"\1", word[:40].translate(_CLASSES))
         return found
 
     def __call__(self, text: str | None) -> list[int]:
         sequence = (text or "").split()
         words, total = Counter(sequence), len(sequence)
-        buckets, shapes = set(), Counter()
+        buckets, shapes, known = set(), {}, self._known.get
         for word, times in words.items():
-            parts, shape = self._word(word)
+            parts, shape = known(word) or self._word(word)
             buckets.update(parts)
-            shapes[shape] += times
+            shapes[shape] = shapes.get(shape, 0) + times
         shares = [("shape:" + shape, times) for shape, times in shapes.items()]
         if total >= LEAST_WORDS:
             shares.append(("repeated", sum(map(eq, sequence, islice(sequence, 1, None)))))
