@@ -166,9 +166,9 @@ class Automaton:
         keys, logs, ends = [np.arange(self.symbols)], [np.log10(unigram)], [targets]
         for n in range(2, order + 1):
             which, shorter = grams.which[n - 1], grams.which[n - 2]
-            at = np.flatnonzero(which >= 0)
-            _, one = np.unique(which[at], return_index=True)
-            at = at[one]  # an occurrence of each distinct n-gram
+            inside = np.flatnonzero(which >= 0)
+            at = np.zeros(len(totals[n - 1]), dtype=np.int64)  # an occurrence of each distinct n-gram
+            at[which[inside]] = inside
             prefix, suffix, symbol = shorter[at - 1], shorter[at], grams.which[0][at]
             context = totals[n - 2][prefix].astype(float)
             backoff = 1 - (1 - LEAST_BACKOFF) * context / (context + TRUST)

@@ -129,11 +129,11 @@ def words_of(texts: Texts, lower: bool = True) -> tuple[Words, np.ndarray, np.nd
         edges[0], edges[size] = inside[0], -int(inside[-1])
     cuts = texts.offsets[1:-1]
     cuts = cuts[(cuts > 0) & (cuts < size)]
-    cuts = np.unique(cuts[inside[cuts] & inside[cuts - 1]])
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    if len(cuts):
-        starts, ends = np.union1d(starts, cuts), np.union1d(ends, cuts)
-    lengths = ends - starts
+    cuts = cuts[inside[cuts] & inside[cuts - 1]]
+    begins, stops = edges == 1, edges == -1
+    begins[cuts] = stops[cuts] = True
+    starts = np.flatnonzero(begins)
+    lengths = np.flatnonzero(stops) - starts
     first = np.searchsorted(starts, texts.offsets)
     return Words(span_hashes(data, starts, lengths), first), starts, lengths
 
