@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ordergrain.llm.textbytes import Texts, mix, ragged, row_slices, span_hashes, texts_from
+from ordergrain.llm.textbytes import Texts, mix, ragged, releasing, row_slices, span_hashes, texts_from
 
 SHORT = 64
 CACHE_SLOTS = 1 << 20
-CACHE_IDS = 1 << 23
+CACHE_IDS = 1 << 22
 LARGEST_FILE = 64 << 20
 _NONE = np.int32(2**31 - 1)
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
@@ -162,9 +162,10 @@ class Encoder:
         self._byte_rank = self.ranks(*every)
         self.merged = np.array([vocab[a + b] for a, b in merges], dtype=np.int32)
         self._specials = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
-        self._clear()
+        self.forget()
 
-    def _clear(self) -> None:
+    def forget(self) -> None:
+        """Empties the cache of encoded words."""
         self._keys = np.zeros(CACHE_SLOTS, dtype=np.uint64)
         self._place = np.zeros((CACHE_SLOTS, 2), dtype=np.int32)
         self._pool, self._used = np.zeros(1 << 16, dtype=np.int32), 0
@@ -296,7 +297,7 @@ class Encoder:
         keys = span_hashes(data, starts, sizes)
         slots = (mix(keys) & np.uint64(CACHE_SLOTS - 1)).astype(np.int64)
         if self._used > CACHE_IDS:
-            self._clear()
+            self.forget()
         missing = np.flatnonzero(self._keys[slots] != keys)
         place = self._place[slots]
         if len(missing):
@@ -372,6 +373,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     """``docs`` with a column ``ids`` (array of int) that holds the tokens of ``text``."""
     vocabulary = Vocabulary(docs.sparkSession, path)
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = vocabulary.encoder()
         for batch in batches:
@@ -380,6 +382,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
                 kept = [c for c in rows.schema.names if c != ids]
                 lists = _token_lists(*encoder.encode(texts))
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), lists], [*kept, ids])
+        encoder.forget()
 
     fields = [f for f in docs.schema.fields if f.name != ids]
     return docs.select(*(f"`{f.name}`" for f in fields)).mapInArrow(
@@ -391,6 +394,7 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
     """``docs`` with a column ``text`` that holds the text of the tokens in ``ids``; null gives empty text."""
     vocabulary = Vocabulary(docs.sparkSession, path)
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = vocabulary.encoder()
         for batch in batches:
@@ -416,6 +420,7 @@ def round_trips(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
     """
     vocabulary = Vocabulary(docs.sparkSession, path)
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = vocabulary.encoder()
         for batch in batches:
@@ -431,6 +436,7 @@ def round_trips(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
                     ],
                     [key, "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
+        encoder.forget()
 
     kind = docs.schema[key].dataType
     schema = T.StructType(

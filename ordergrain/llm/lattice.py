@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from ordergrain.llm.graph import components, local_roots
 from ordergrain.llm.storage import stored
-from ordergrain.llm.textbytes import mix, signed
+from ordergrain.llm.textbytes import mix, releasing, signed
 
 TABLES, PROBES, CELL = 4, 6, 0.2
 CHUNK, GROUP_ROWS, SLAB = 1024, 8192, 128
@@ -135,6 +135,7 @@ def similar_vectors(
     classes = stored(valid.groupBy("vec").agg(F.min("id").alias("rep"), F.count_distinct("id").alias("weight")))
     members = valid.join(classes, "vec").select("id", "rep", "weight").distinct()
 
+    @releasing
     def place(batches):
         for batch in batches:
             widths = pc.list_value_length(batch.column("vec")).to_numpy()
@@ -167,6 +168,7 @@ def similar_vectors(
     groups = F.pmod(F.xxhash64("tab", "cell", "i", "j"), F.lit(places.count() // GROUP_ROWS + 1)).alias("g")
     work = units.join(classes, "rep").select("*", groups)
 
+    @releasing
     def compare(group: pa.Table) -> pa.Table:
         ids = group.column("rep").to_numpy()
         weight = group.column("weight").to_numpy()

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordergrain.llm.storage import stored
+from ordergrain.llm.textbytes import releasing
 
 WINDOW = 2
 COUNTING = r"[^\x09-\x0D\x20]"
@@ -75,6 +76,7 @@ def remove_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "tex
     named = docs.select(*(F.col(f"`{f.name}`").alias(f"c{k}") for k, f in enumerate(fields)), row)
     place = f"c{[f.name for f in fields].index(text)}"
 
+    @releasing
     def cut(batches):
         for batch in batches:
             kept, before, removed = [], [], []

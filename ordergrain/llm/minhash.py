@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from ordergrain.llm.graph import components, local_roots
 from ordergrain.llm.storage import stored
-from ordergrain.llm.textbytes import Texts, combine, mix, ragged, row_of, row_slices, signed, texts_of, words_of
+from ordergrain.llm.textbytes import Texts, combine, mix, ragged, releasing, row_of, row_slices, signed, texts_of, words_of
 
 WORDS = 5
 REGISTERS, MANTISSA, BAND = 128, 10, 5
@@ -123,6 +123,7 @@ def estimates(left: np.ndarray, right: np.ndarray, sizes_left: np.ndarray, sizes
 
 
 def _sketch(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    @releasing
     def run(batches):
         for batch in batches:
             for at, texts in row_slices(batch.column("text")):
@@ -153,6 +154,7 @@ def _sketches_of(column) -> np.ndarray:
 
 
 def _bands(classes: DataFrame, kind: str) -> DataFrame:
+    @releasing
     def run(batches):
         for batch in batches:
             if batch.num_rows:
@@ -220,6 +222,7 @@ def _in_order(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
 def _likeliest(units: DataFrame, classes: DataFrame, threshold: float, kind: str) -> DataFrame:
     """For every document and unit the pair (a, b) with its most similar partner."""
 
+    @releasing
     def compare(table: pa.Table) -> pa.Table:
         order, (band, i, j, reps, label, chunk) = _in_order(table)
         sizes, sketches = table.column("n").to_numpy()[order], _sketches_of(table.column("sketch"))[order]
@@ -238,6 +241,7 @@ def _likeliest(units: DataFrame, classes: DataFrame, threshold: float, kind: str
 def _undecided(units: DataFrame, classes: DataFrame, threshold: float, kind: str) -> DataFrame:
     """The rows of ``units`` whose document may link with another label's document in the unit."""
 
+    @releasing
     def compare(table: pa.Table) -> pa.Table:
         order, (band, i, j, reps, label, chunk) = _in_order(table)
         sizes, sketches = table.column("n").to_numpy()[order], _sketches_of(table.column("sketch"))[order]
@@ -253,6 +257,7 @@ def _undecided(units: DataFrame, classes: DataFrame, threshold: float, kind: str
 def _links_of_units(rows: DataFrame, texts: DataFrame, words: int, percent: int, kind: str) -> DataFrame:
     """Links (a, b) that connect the documents of a unit as all their confirmed links do."""
 
+    @releasing
     def compare(table: pa.Table) -> pa.Table:
         order, (band, i, j, reps, label, chunk) = _in_order(table)
         owner, hashes = shingles(texts_of(table.column("text").take(pa.array(order))), words)
@@ -290,6 +295,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int, kind:
     """``pairs`` with ``linked``: whether 100 times the intersection reaches ``percent`` times the union."""
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
 
+    @releasing
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ordergrain.llm.bpe import Vocabulary
 from ordergrain.llm.storage import stored
-from ordergrain.llm.textbytes import row_slices
+from ordergrain.llm.textbytes import releasing, row_slices
 
 ROWS_PER_SALT = 50_000
 
@@ -98,6 +98,7 @@ def pack(items: DataFrame, capacity: int, order: list[str], length: str = "lengt
     table = np.array(runs or [Run(1, 0, 0, 0, 1, 0)], dtype=np.int64).T
     keys = (table[0] << 48) + table[1]
 
+    @releasing
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rank = batch.column("_rank").to_numpy()
@@ -121,6 +122,7 @@ def pieces(
     """Per document its tokens and the end token, cut into pieces: start, length and CRC-32 of each."""
     vocabulary = Vocabulary(docs.sparkSession, path)
 
+    @releasing
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = vocabulary.encoder()
         for batch in batches:
@@ -148,6 +150,7 @@ def pieces(
                     ],
                     [key, "piece", "start", "length", "ids_crc32"],
                 )
+        encoder.forget()
 
     schema = T.StructType(
         [

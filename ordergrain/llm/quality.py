@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordergrain.llm.storage import stored
+from ordergrain.llm.textbytes import releasing
 
 BUCKETS = 1 << 18
 LEAST_DOCUMENTS, LEAST_CHI_SQUARE = 5, 15.0
@@ -103,6 +104,7 @@ def features(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` with the text replaced by ``features``, its sorted buckets."""
     fields = [f for f in docs.schema.fields if f.name not in (text, "features")]
 
+    @releasing
     def run(batches):
         featurize = Featurizer()
         for batch in batches:
@@ -133,6 +135,7 @@ def _evidence(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` with ``features`` replaced by ``evidence``, the document's own log-odds of being good."""
     fields = [f for f in rows.schema.fields if f.name != "features"]
 
+    @releasing
     def run(batches):
         for batch in batches:
             names = [f.name for f in fields]
@@ -270,6 +273,7 @@ def accepted(
     place = f"c{[f.name for f in fields].index(text)}"
     named = docs.select(*(F.col(f"`{f.name}`").alias(f"c{k}") for k, f in enumerate(fields)), F.col(f"`{host}`").alias("host"), F.col(f"`{path}`").alias("path"))
 
+    @releasing
     def run(batches):
         featurize = Featurizer()
         for batch in batches:

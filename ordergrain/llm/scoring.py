@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordergrain.llm.storage import stored
-from ordergrain.llm.textbytes import combine, ragged, texts_of, words_of
+from ordergrain.llm.textbytes import combine, ragged, releasing, texts_of, words_of
 
 ORDER = 2
 LEAST_BACKOFF, TRUST = 0.35, 20.0
@@ -102,6 +102,7 @@ def corpus_counts(dealt: DataFrame, order: int, bits: int) -> DataFrame:
     training tokens and of distinct training words of a range instead.
     """
 
+    @releasing
     def ask(group: pa.Table) -> pa.Table:
         grams = Grams(group.column("text"), order)
         training = group.column("training").to_numpy()
@@ -116,6 +117,7 @@ def corpus_counts(dealt: DataFrame, order: int, bits: int) -> DataFrame:
                 rows.append((n, int(r), block, int(own[0]).to_bytes(8, "little") + squeeze(np.diff(own)), squeeze(counts[a:b])))
         return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), asked)], asked_names)
 
+    @releasing
     def answer(group: pa.Table) -> pa.Table:
         n, part = group.column("n")[0].as_py(), group.column("part")[0].as_py()
         lists = []
@@ -216,6 +218,7 @@ def score(docs: DataFrame, training: str, key: str = "doc_id", text: str = "text
     tokens, words = counts.agg(F.sum("tokens"), F.sum("words")).first()
     tokens, words = tokens or 0, words or 0
 
+    @releasing
     def run(documents: pa.Table, answers: pa.Table) -> pa.Table:
         grams = Grams(documents.column("text"), order)
         found = sorted(zip(*(answers.column(c).to_pylist() for c in ("n", "part", "totals"))))

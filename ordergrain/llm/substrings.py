@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from ordergrain.llm.storage import stored
 from ordergrain.llm.suffixes import suffix_array
 from ordergrain.llm.textbytes import (
-    Texts, combine, mix, ragged, row_of, row_slices, signed, span_hashes, texts_of, words_at,
+    Texts, combine, mix, ragged, releasing, row_of, row_slices, signed, span_hashes, texts_of, words_at,
 )
 
 LENGTH = 400
@@ -160,6 +160,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, most_spans: int = MOST
     Ranges of a row may overlap. ``row`` is a number that tells texts apart.
     """
 
+    @releasing
     def scan(batches):
         for batch in batches:
             for at, texts in row_slices(batch.column("text")):
@@ -189,6 +190,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, most_spans: int = MOST
     held = wanted.join(docs.select("row", "text"), "row").select("row", "list", "text")
     names = ["key", "span", "times", "number", "place", "first", "spans"]
 
+    @releasing
     def take(batches):
         for batch in batches:
             for at, texts in row_slices(batch.column("text")):
@@ -214,6 +216,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, most_spans: int = MOST
     bodies = stored(held.mapInArrow(take, kinds))
     few, many = bodies.where(F.col("spans") <= most_spans), bodies.where(F.col("spans") > most_spans)
 
+    @releasing
     def compare(table: pa.Table) -> pa.Table:
         spans = texts_of(table.column("body"))
         number, place = (table.column(c).to_numpy().astype(np.int64) for c in ("number", "place"))
@@ -233,6 +236,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, most_spans: int = MOST
     groups = F.pmod(F.xxhash64("key"), F.lit(few.count() // GROUP_SPANS + 1)).alias("g")
     compared = few.select("*", groups).groupBy("g").applyInArrow(compare, "row long, begin long, end long")
 
+    @releasing
     def strings(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -271,6 +275,7 @@ def remove_repeated(
     ranges = repeated_spans(named, length).groupBy("row").agg(F.collect_set(F.struct("begin", "end")).alias("ranges"))
     both = named.join(ranges, "row", "left").drop("row")
 
+    @releasing
     def cut(batches):
         for batch in batches:
             for at, texts in row_slices(batch.column("text")):

@@ -6,15 +6,18 @@ they agree between tasks, executors and runs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache, wraps
+from inspect import isgeneratorfunction, signature
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 PAD = 8
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _U = np.uint64
 _M1, _M2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
@@ -24,6 +27,49 @@ _IN_WORD = np.ones(256, dtype=bool)
 _IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
 
 
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int] | None:
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release_memory() -> None:
+    """Gives freed memory back to the system; else a reused Python worker keeps its largest task's."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim:
+        trim(0)
+
+
+def releasing(function: Callable) -> Callable:
+    """``function`` over batches or groups, after which the worker gives its freed memory back."""
+
+    @wraps(function)
+    def over_batches(batches):
+        try:
+            yield from function(batches)
+        finally:
+            release_memory()
+
+    @wraps(function)
+    def over_group(table):
+        try:
+            return function(table)
+        finally:
+            release_memory()
+
+    @wraps(function)
+    def over_two_groups(left, right):
+        try:
+            return function(left, right)
+        finally:
+            release_memory()
+
+    if isgeneratorfunction(function):
+        return over_batches
+    # Spark looks at the number of arguments.
+    return over_group if len(signature(function).parameters) == 1 else over_two_groups
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     values = (values ^ (values >> _U(30))) * _M1
