@@ -165,7 +165,8 @@ def train(featured: DataFrame, labels: DataFrame, key: str) -> Model:
     """The model of the labelled documents; ``labels`` has the key and ``good`` (1, 0 or null)."""
     clear = labels.where(f"`{key}` IS NOT NULL").groupBy(F.col(key).alias("id")).agg(F.min("good").alias("good"), F.max("good").alias("most"))
     clear = clear.where("good = most").select("id", "good")
-    known = featured.select(F.col(f"`{key}`").alias("id"), "features").join(clear, "id")
+    # A merge join at every size: few labels today must not make the plan another one.
+    known = featured.select(F.col(f"`{key}`").alias("id"), "features").join(clear.hint("merge"), "id")
     known = stored(known.withColumn("kept_out", F.pmod(F.xxhash64("id"), F.lit(5)) == 0))
     fit, rest = known.where("NOT kept_out"), known.where("kept_out")
     totals = {r["good"]: r["count"] for r in fit.groupBy("good").count().collect()}
