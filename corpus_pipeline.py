@@ -1,8 +1,8 @@
 """The corpus pipeline: quality filter, line, near and substring de-duplication, packing.
 
 Every stage takes the rows that the one before kept, with the columns of ``documents``, and all but
-the last return these columns; ``n_chars`` follows the text. Null texts stay null, rows with null
-ids are never duplicates, and an empty table gives an empty table.
+the last return these columns; ``n_chars`` follows the text. Null texts stay null and an empty
+table gives an empty table. Of rows equal in id and text one is left after the near-duplicate stage.
 """
 
 from __future__ import annotations
@@ -35,10 +35,20 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near duplicates."""
+    """One row of every group of near duplicates, that with the smallest id; a null id comes last.
+
+    Rows are told apart by id and text: repeated rows are one, rows with null ids take part by their
+    text, and different texts with one id are documents of their own.
+    """
     ship_package(spark)
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    document = F.xxhash64("doc_id", "text").alias("_document")
+    told = docs.select("doc_id", "text", document)
+    groups = minhash.near_duplicates(told, key="_document").select("_document", "component_id").distinct()
+    ids = told.select("_document", "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_document")
+    kept = groups.join(ids, "_document").groupBy("component_id").agg(F.min(order).alias("least")).select("least._document")
+    once = docs.select("*", document).dropDuplicates(["_document"])
+    return once.join(kept, "_document", "left_semi").select(*(f"`{c}`" for c in docs.columns))
 
 
 def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
