@@ -14,6 +14,7 @@ from ordergrain.llm import lines, minhash, packing, quality, substrings
 from ordergrain.llm.catalog import BYTE_BPE, good_labels
 from ordergrain.llm.storage import ship_package, stored
 
+SIMILAR = 80  # least Jaccard similarity of near duplicates, in percent
 
 def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
     """The columns of ``docs`` from ``changed``, whose text may differ."""
@@ -43,7 +44,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     ship_package(spark)
     document = F.xxhash64("doc_id", "text").alias("_document")
     told = docs.select("doc_id", "text", document)
-    groups = minhash.near_duplicates(told, key="_document").select("_document", "component_id").distinct()
+    groups = minhash.near_duplicates(told, key="_document", percent=SIMILAR).select("_document", "component_id").distinct()
     ids = told.select("_document", "doc_id").distinct()
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_document")
     kept = groups.join(ids, "_document").groupBy("component_id").agg(F.min(order).alias("least")).select("least._document")

@@ -7,7 +7,8 @@ order for banding only. Documents that agree in a band of ``BAND`` registers mee
 the Jaccard similarity is estimated from all registers, corrected for chance agreement. What could
 still reach the threshold (five standard errors) is confirmed on the full sets.
 
-At the threshold of 0.85 a pair meets in none of the 25 bands with a chance of 4 in 10 million.
+At a threshold of 0.85 a pair meets in none of the 25 bands with a chance of 4 in 10 million, at 0.8
+with one of 5 in 100,000.
 
 Only components are asked for, so pairs need not be confirmed within one. Documents with equal sets
 are one to begin with. First each document is confirmed with its likeliest partner; this joins most of

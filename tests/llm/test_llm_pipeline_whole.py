@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import corpus_pipeline
@@ -23,3 +24,31 @@ def test_one_whole_copy_of_repeated_rows_reaches_packing(spark, documents):
     assert Counter((r.doc_id, r.text) for r in cut.collect()) == expected
     packed = corpus_pipeline.pack_sequences(spark, cut, FOLDER)
     assert packed.where("doc_id = 1").selectExpr("sum(length)").first() == packed.where("doc_id = 1").selectExpr("max(length)").first()
+
+
+def _shingles(text):
+    words = text.split()
+    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+
+def test_near_duplicates_from_a_similarity_of_080_on(spark, documents):
+    chosen, texts = random.Random(8), []
+    for group in range(40):
+        words = [f"w{chosen.randrange(10**6)}" for _ in range(300)]
+        texts.append(" ".join(words))
+        for place in chosen.sample(range(0, 300, 10), 3 + group % 8):  # similarities of 0.74 to 0.9
+            words[place] = f"w{chosen.randrange(10**6)}"
+        texts.append(" ".join(words))
+    sets = [_shingles(text) for text in texts]
+    root = list(range(len(texts)))
+    shares = []
+    for b in range(len(texts)):
+        for a in range(b):
+            share = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+            shares.append(share)
+            if share >= 0.8:
+                root = [root[a] if r == root[b] else r for r in root]
+    assert any(0.8 <= s < 0.85 for s in shares) and any(0.7 < s < 0.8 for s in shares)
+    docs = documents(list(enumerate(texts)), clashing=False)
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER).collect()}
+    assert kept == {k for k, r in enumerate(root) if k == r}
