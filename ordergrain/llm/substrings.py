@@ -3,13 +3,13 @@
 A byte goes when it is covered by a string of ``length`` bytes that also starts anywhere else,
 judged on the input. A position whose string is repeated is called a repeated start.
 
-1. Each string is assigned to its anchor: of the ``GRAM``-byte grams in it the one with the smallest
+1. Each string is assigned to its anchor: of the grams (``length`` / 12.5 bytes) in it the one with the smallest
    hash, the last of equal ones. Equal strings have equal anchors at equal places. Consecutive
-   starts with one anchor and the bytes that they reach form a span (about 185 starts).
+   starts with one anchor and the bytes that they reach form a span (about 185 starts of 400 bytes).
 2. Equal spans are one from here on. In a span that occurs twice every start is repeated; a span
    whose anchor occurs in no other span has no repeated start. Only the spans that share an
    anchor with different spans need their bytes, one copy each.
-3. Those are cut into ``BLOCK``-byte blocks aligned at the anchor, and a suffix array of the blocks
+3. Those are cut into blocks of two grams aligned at the anchor, and a suffix array of the blocks
    is built by linear grouping (``suffixes``). Neighbours in it that agree in as many blocks as every
    string holds in full form classes; within a class the few bytes of a string before and after its
    full blocks decide.
@@ -41,24 +41,29 @@ from ordergrain.llm.textbytes import (
 )
 
 LENGTH = 400
-GRAM, BLOCK = 32, 64
 MOST_SPANS = 20_000
 GROUP_SPANS = 2_000
 LONGEST = 4 << 20  # starts handled at once; a position fits into the low bits of a window's value
 _PLACE = np.uint64((1 << 24) - 1)
 
 
+def _gram(length: int) -> int:
+    """Bytes of a gram, in whole words; a block is twice as long."""
+    return max(8, length * 2 // 25 // 8 * 8)
+
+
 def _anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Anchor of every string of ``length`` bytes in ``data`` (padded), and the hash of every gram."""
-    number = len(data) - 8 - GRAM + 1
+    gram = _gram(length)
+    number = len(data) - 8 - gram + 1
     load = mix(words_at(data))
     grams = load[:number].copy()
-    for k in range(8, GRAM, 8):
+    for k in range(8, gram, 8):
         grams *= np.uint64(0x9E3779B97F4A7C15)
         grams += load[k : k + number]
     grams = mix(grams)
     ranked = (grams & ~_PLACE) | (_PLACE - np.arange(number, dtype=np.uint64))
-    width = length - GRAM + 1
+    width = length - gram + 1
     cut = np.concatenate([ranked, np.full(-number % width, 2**64 - 1, np.uint64)]).reshape(-1, width)
     ahead = np.minimum.accumulate(cut, axis=1).reshape(-1)
     back = np.minimum.accumulate(cut[:, ::-1], axis=1)[:, ::-1].reshape(-1)
@@ -95,14 +100,15 @@ def spans_of(texts: Texts, length: int) -> dict[str, np.ndarray]:
 
 def repeated_starts(spans: Texts, number: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
     """For each start of each span, one after the other, whether its string starts elsewhere in the spans."""
-    blocks = (length - BLOCK + 1) // BLOCK  # full blocks that every string holds
-    shift = place % BLOCK
+    wide = 2 * _gram(length)
+    blocks = (length - wide + 1) // wide  # full blocks that every string holds
+    shift = place % wide
     sizes = np.diff(spans.offsets)
-    counts = np.maximum(sizes - shift, 0) // BLOCK
+    counts = np.maximum(sizes - shift, 0) // wide
     row = np.repeat(np.arange(len(sizes)), counts)
     turn = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = spans.offsets[row] + shift[row] + turn * BLOCK
-    _, symbol = np.unique(span_hashes(spans.data, at, np.full(len(at), BLOCK)), return_inverse=True)
+    at = spans.offsets[row] + shift[row] + turn * wide
+    _, symbol = np.unique(span_hashes(spans.data, at, np.full(len(at), wide)), return_inverse=True)
     # One sequence with a different smallest symbol after every span.
     places = np.arange(len(row)) + row
     sequence = np.full(len(row) + len(sizes), -1, dtype=np.int64)
@@ -127,16 +133,16 @@ def repeated_starts(spans: Texts, number: np.ndarray, place: np.ndarray, length:
     total = int(number.sum())
     owner = np.repeat(np.arange(len(number)), number)
     start = np.arange(total) - np.repeat(np.cumsum(number) - number, number)
-    lead = (shift[owner] - start) % BLOCK
+    lead = (shift[owner] - start) % wide
     begin = np.concatenate([[0], np.cumsum(counts + 1)])[:-1]
-    block = begin[owner] + (start + lead - shift[owner]) // BLOCK
+    block = begin[owner] + (start + lead - shift[owner]) // wide
     open_ = np.flatnonzero(shared[block])
     here = spans.offsets[owner[open_]] + start[open_]
     lead, block = lead[open_], block[open_]
-    tail = length - blocks * BLOCK - lead
+    tail = length - blocks * wide - lead
     head_hash = span_hashes(spans.data, here, lead)
-    tail_hash = span_hashes(spans.data, here + lead + blocks * BLOCK, tail)
-    whole = combine(combine(head_hash, tail_hash), (class_of[block] * BLOCK + lead).astype(np.uint64))
+    tail_hash = span_hashes(spans.data, here + lead + blocks * wide, tail)
+    whole = combine(combine(head_hash, tail_hash), (class_of[block] * wide + lead).astype(np.uint64))
     _, which, times = np.unique(whole, return_inverse=True, return_counts=True)
     found = np.zeros(total, dtype=bool)
     found[open_] = times[which] > 1

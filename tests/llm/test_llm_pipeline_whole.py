@@ -5,8 +5,11 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pytest
+
 import corpus_pipeline
 from conftest import prose
+from ordergrain.llm import substrings
 
 FOLDER = "unused"
 
@@ -52,3 +55,34 @@ def test_near_duplicates_from_a_similarity_of_080_on(spark, documents):
     docs = documents(list(enumerate(texts)), clashing=False)
     kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER).collect()}
     assert kept == {k for k, r in enumerate(root) if k == r}
+
+
+def _words(chosen, number):
+    return " ".join("".join(chosen.choices("abcdefghijklmnop", k=chosen.randrange(3, 7))) for _ in range(number))
+
+
+def test_repeated_passages_of_over_50_words_go(spark, documents):
+    chosen, rows, left = random.Random(51), [], {}
+    for words in range(51, 66):
+        passage = _words(chosen, words)
+        assert 200 <= len(passage) < 400
+        for copy in range(2):
+            head, tail, key = _words(chosen, 80), _words(chosen, 80), 2 * words + copy
+            rows.append((key, f"{head}{copy}.{passage}.{copy}{tail}"))
+            left[key] = f"{head}{copy}{copy}{tail}"
+    found = corpus_pipeline.drop_repeated_strings(spark, documents(rows, clashing=False), FOLDER).collect()
+    assert {r.doc_id: r.text for r in found} == left
+
+
+@pytest.mark.parametrize("length", [40, 100, 200, 250, 400])
+def test_substrings_of_other_lengths_against_brute_force(spark, documents, length):
+    chosen = random.Random(length)
+    pool = ["".join(chosen.choices("ab", k=chosen.randrange(length // 3, 2 * length))) for _ in range(12)]
+    texts = ["".join(chosen.choice(pool)[chosen.randrange(9) :] for _ in range(chosen.randrange(8))) for _ in range(25)]
+    places = Counter(t[k : k + length] for t in texts for k in range(len(t) - length + 1))
+    expected = {}
+    for key, t in enumerate(texts):
+        gone = {k + n for k in range(len(t) - length + 1) if places[t[k : k + length]] > 1 for n in range(length)}
+        expected[key] = "".join(c for n, c in enumerate(t) if n not in gone)
+    found = substrings.remove_repeated(documents(list(enumerate(texts))).select("doc_id", "text"), length=length, as_text=True)
+    assert {r.doc_id: r.kept for r in found.collect()} == expected
