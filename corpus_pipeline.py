@@ -14,6 +14,7 @@ from ordergrain.llm import lines, minhash, packing, quality, substrings
 from ordergrain.llm.catalog import BYTE_BPE, good_labels
 from ordergrain.llm.storage import ship_package, stored
 
+ALONE = 40  # characters from which a repeated line goes whatever its neighbours
 SIMILAR = 80  # least Jaccard similarity of near duplicates, in percent
 PASSAGE = 200  # bytes; 51 words of the test documents have more in all but 3 of 10,000 places
 
@@ -31,9 +32,9 @@ def filter_by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later repeats of runs of lines; a document can become empty."""
+    """Documents without later repeats of runs of lines and of long lines; a document can become empty."""
     ship_package(spark)
-    return _with_text(docs, lines.remove_repeated_lines(docs))
+    return _with_text(docs, lines.remove_repeated_lines(docs, alone=ALONE))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

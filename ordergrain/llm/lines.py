@@ -1,15 +1,14 @@
-"""Removal of repeated runs of lines by winnowing.
+"""Removal of repeated runs of lines.
 
 Lines with a character other than white space count; the others are kept as they are and ignored.
 A run of ``window`` counting lines is deleted when the same lines stand earlier in the corpus, in
 the order of document id and line; longer repeats are deleted whole, as they consist of such runs.
+With ``alone`` a line of at least that many characters is a run by itself, whatever its neighbours.
 
-From every window of line hashes the smallest is selected as fingerprint, the last of equal ones.
-A repeated run has its fingerprint at the same place in both copies, so only the lines next to
-fingerprints that occur at two positions are looked at: each such position is extended both ways
-to the runs whose fingerprint it is, and equal runs are compared with their first occurrence.
-That is a minimum by run, so a passage that is in every document is no bottleneck and no pairs are
-made.
+Every run is hashed whole and compared with its first occurrence. That is a minimum by run, so a
+passage that is in every document is no bottleneck and no pairs are made. Selecting fingerprints
+(winnowing) would gain nothing: of windows of two lines two thirds of the lines are selected, and each
+window would still have to be compared where a fingerprint is shared.
 
 Defined results: a null text stays null and an empty one empty; texts of any length are handled
 whole; rows that are equal in id and text count as one and keep or lose the same lines; a null
@@ -35,44 +34,48 @@ def _counts(line: str) -> bool:
     return bool(line.strip(" \t\n\x0b\f\r"))
 
 
-def repeated_runs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Deleted runs: row and the number (from 0) of the first line of each among the counting lines.
+def repeated_runs(docs: DataFrame, window: int = WINDOW, alone: int | None = None) -> DataFrame:
+    """Deleted runs: row, the number (from 0) of the first line of each among the counting lines, and its lines.
 
     ``docs`` has id, row (a number that tells texts apart) and text.
     """
+    long = "false" if alone is None else f"char_length(x) >= {alone}"
     hashed = docs.where("text IS NOT NULL").select(
-        "id", "row", F.expr(f"transform(filter(split(text, '\\n', -1), x -> x RLIKE r'{COUNTING}'), x -> xxhash64(x))").alias("h")
+        "id",
+        "row",
+        F.expr(
+            f"transform(filter(split(text, '\\n', -1), x -> x RLIKE r'{COUNTING}'),"
+            f" x -> named_struct('h', xxhash64(x), 'long', {long}))"
+        ).alias("h"),
     )
-    windows = hashed.where(F.size("h") >= window).select(
+    starts = hashed.where(F.size("h") > 0).select(
         "id",
         "row",
         F.posexplode(
             F.expr(
-                f"transform(sequence(0, size(h) - {window}), i -> named_struct("
-                f"'print', array_min(slice(h, i + 1, {window})), 'run', xxhash64(slice(h, i + 1, {window})),"
-                f"'place', i + {window} - cast(array_position(reverse(slice(h, i + 1, {window})), array_min(slice(h, i + 1, {window}))) AS int)))"
+                f"transform(sequence(0, size(h) - 1), i -> filter(array("
+                f"IF(i + {window} <= size(h), named_struct('size', {window}, 'run', xxhash64(slice(h, i + 1, {window}).h)), NULL),"
+                f"IF({window} > 1 AND h[i].long, named_struct('size', 1, 'run', xxhash64(slice(h, i + 1, 1).h)), NULL)"
+                f"), z -> z IS NOT NULL))"
             )
         ).alias("line", "w"),
     )
-    runs = stored(windows.select("id", "row", "line", "w.print", "w.run", "w.place"))
-    prints = runs.groupBy("print").agg(
-        F.min(F.struct("row", "place")).alias("first"), F.max(F.struct("row", "place")).alias("last")
-    )
-    shared = prints.where("first <> last").select("print")
-    extended = runs.join(shared, "print")
+    runs = stored(starts.select("id", "row", "line", F.explode("w").alias("w")).select("id", "row", "line", "w.size", "w.run"))
     here = F.struct("id", "row", "line")
-    firsts = extended.groupBy("print", "run").agg(F.min(here).alias("first"), F.max(here).alias("last")).where("first <> last")
-    later = extended.join(firsts.select("print", "run", "first"), ["print", "run"]).where(here > F.col("first"))
-    return later.select("row", "line")
+    firsts = runs.groupBy("size", "run").agg(F.min(here).alias("first"), F.max(here).alias("last")).where("first <> last")
+    later = runs.join(firsts.select("size", "run", "first"), ["size", "run"]).where(here > F.col("first"))
+    return later.select("row", "line", "size")
 
 
-def remove_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+def remove_repeated_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, alone: int | None = None
+) -> DataFrame:
     """``docs`` without later repeats of runs of lines, with n_lines (all lines before) and n_removed."""
     results = ("n_lines", "n_removed")
     fields = [f for f in docs.schema.fields if f.name not in results]
     row = F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("row")
     plain = docs.select(F.col(f"`{key}`").alias("id"), row, F.col(f"`{text}`").alias("text"))
-    gone = repeated_runs(plain, window).groupBy("row").agg(F.collect_set("line").alias("gone"))
+    gone = repeated_runs(plain, window, alone).groupBy("row").agg(F.collect_set(F.struct("line", "size")).alias("gone"))
     named = docs.select(*(F.col(f"`{f.name}`").alias(f"c{k}") for k, f in enumerate(fields)), row)
     place = f"c{[f.name for f in fields].index(text)}"
 
@@ -87,7 +90,7 @@ def remove_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "tex
                     kept.append(value)
                     removed.append(0)
                     continue
-                dead = {s + k for s in starts for k in range(window)}
+                dead = {s["line"] + k for s in starts for k in range(s["size"])}
                 left, turn = [], -1
                 for line in lines:
                     turn += _counts(line)

@@ -86,3 +86,12 @@ def test_substrings_of_other_lengths_against_brute_force(spark, documents, lengt
         expected[key] = "".join(c for n, c in enumerate(t) if n not in gone)
     found = substrings.remove_repeated(documents(list(enumerate(texts))).select("doc_id", "text"), length=length, as_text=True)
     assert {r.doc_id: r.kept for r in found.collect()} == expected
+
+
+def test_long_repeated_lines_go_whatever_their_neighbours(spark, documents):
+    notice, short = "All rights reserved by the owner of this page", "Read more about this"
+    rows = [(k, f"first {k}\n{notice}\nmiddle {k}\n{short}\nlast {k}") for k in range(50)]
+    rows.append((50, f"{notice}\n\n{notice}\n{short}\n{notice}"))
+    found = corpus_pipeline.drop_repeated_lines(spark, documents(rows, clashing=False), FOLDER).collect()
+    expected = {k: text if k == 0 else text.replace(f"{notice}\n", "") for k, text in rows[:50]}
+    assert {r.doc_id: r.text for r in found} == expected | {50: f"\n{short}"}
