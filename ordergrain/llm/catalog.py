@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordergrain.llm import bpe, chaining, hamming, lattice, lines, minhash, packing, quality, scoring, substrings
+from ordergrain.llm import (
+    bpe, chaining, chat, hamming, infill, lattice, lines, minhash, negatives, packing, quality, scoring, substrings,
+)
 from ordergrain.llm.storage import ship_package
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -132,3 +134,114 @@ def op5_empirical_bayes_quality(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op9_collinear_passages(spark: SparkSession, folder: str) -> DataFrame:
     return chaining.repeated_passages(_read(spark, folder, "documents"))
+
+
+@_query
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = infill.fill_in_middle(_read(spark, folder, "documents"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored(), 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+ORACLES["op11_fill_in_middle"] = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS digest,
+         CASE WHEN coalesce(text, '') = '' THEN [] ELSE regexp_extract_all(text, '[^\n]*\n|[^\n]+') END AS units
+  FROM documents
+),
+hashed AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n,
+         CAST('0x' || digest[1:8] AS BIGINT) AS h1, CAST('0x' || digest[9:16] AS BIGINT) AS h2,
+         CAST('0x' || digest[17:24] AS BIGINT) AS h3, CAST('0x' || digest[25:32] AS BIGINT) AS h4
+  FROM drawn
+),
+cut AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high FROM hashed),
+pieces AS (
+  SELECT doc_id, text, n,
+         array_to_string(list_slice(units, 1, low), '') AS p,
+         array_to_string(list_slice(units, low + 1, high), '') AS m,
+         array_to_string(list_slice(units, high + 1, n), '') AS s,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM pieces
+"""
+
+
+PROBE = "\\### Assistant: </turn> ok"  # looks like the template itself
+
+
+@_query
+def op12_prefix_target_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    probe = spark.range(2).select(F.lit(-7).cast("long"), "id", role, F.lit(PROBE))
+    return chat.digests(chat.expand(rows.unionAll(probe)))
+
+
+ORACLES["op12_prefix_target_chat"] = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS probe(turn, role)
+),
+sized AS (
+  SELECT *, row_number() OVER later = 1 AS last,
+         14 + length(replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\e'), ':', '\c'))
+         + length(replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\e')) AS size
+  FROM said
+  WINDOW later AS (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, role DESC, text DESC)
+),
+summed AS (
+  SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING) AS chars
+  FROM sized
+),
+joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+         CAST(sum(chars) FILTER (role = 'assistant' OR last) AS BIGINT) AS formatted_chars
+  FROM summed GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars
+FROM joined
+"""
+
+
+@_query
+def op13_residue_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    rows = _read(spark, folder, "embeddings").select("vec_id", "embedding", moved)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op13_residue_hard_negatives"] = """
+WITH numbers AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM numbers a JOIN numbers b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, n.vec_id AS negative_id, positive_score,
+       n.score AS negative_score
+FROM positives p JOIN pairs n USING (anchor_id)
+WHERE NOT n.alike AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER best <= 5
+"""
