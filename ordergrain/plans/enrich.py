@@ -10,6 +10,7 @@ sort-merge join at run time (see ``ordergrain.session``).
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -128,14 +129,13 @@ def item_totals(
 ) -> DataFrame:
     """Per order: counts, price and freight totals, product means and primary values.
 
-    Distinct counts get an aggregate of their own over the bare items. In one aggregate with the
-    others, every item with all its facts would be copied for each of them.
+    Every distinct count is two narrow aggregates of its own over the bare items. Together, or with the
+    others, every item would be copied for each count.
     """
     wanted = [c for c in ITEM_COLUMNS if c in set(columns)]
+    counted = {"unique_product_count": "product_id", "seller_count": "seller_id"}
     measures = {
         "item_count": lambda: F.count("order_item_id"),
-        "unique_product_count": lambda: F.count_distinct("product_id"),
-        "seller_count": lambda: F.count_distinct("seller_id"),
         "total_price": lambda: money_sum_or_zero(F.col("price")),
         "total_freight": lambda: money_sum_or_zero(F.col("freight_value")),
         "avg_product_weight_g": lambda: F.avg("product_weight_g"),
@@ -144,22 +144,17 @@ def item_totals(
         "primary_category": lambda: most_frequent(F.col("category")),
         "primary_seller_state": lambda: most_frequent(F.col("seller_state")),
     }
-
-    def per_order(items: DataFrame, names: list[str]) -> DataFrame:
-        known = items.where(F.col("order_id").isNotNull())
-        return known.groupBy("order_id").agg(*[measures[name]().alias(name) for name in names])
-
-    distinct = [c for c in wanted if c in ("unique_product_count", "seller_count")]
-    others = [c for c in wanted if c not in distinct]
-    if not distinct:
-        return per_order(item_details(tables, others, centroids), others)
-    if not others:
-        return per_order(tables["items"], distinct)
-    return (
-        per_order(item_details(tables, others, centroids), others)
-        .join(per_order(tables["items"], distinct), "order_id")
-        .select("order_id", *wanted)
-    )
+    items = tables["items"].where(F.col("order_id").isNotNull())
+    sides = []
+    others = [c for c in wanted if c in measures]
+    if others:
+        details = item_details({**tables, "items": items}, others, centroids)
+        sides.append(details.groupBy("order_id").agg(*[measures[name]().alias(name) for name in others]))
+    for name in wanted:
+        if name in counted:
+            pairs = items.select("order_id", counted[name]).distinct()
+            sides.append(pairs.groupBy("order_id").agg(F.count(counted[name]).alias(name)))
+    return reduce(lambda a, b: a.join(b, "order_id"), sides).select("order_id", *wanted)
 
 
 def payment_totals(payments: DataFrame, columns: Iterable[str] = PAYMENT_COLUMNS) -> DataFrame:

@@ -19,6 +19,20 @@ TRANSLATIONS = {
 }
 
 
+# The columns of the test tables. Declared, so that no query opens a file to look them up.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 Reader = Callable[[str], DataFrame]
 
 
@@ -143,7 +157,7 @@ class RoleTables(Mapping[str, DataFrame]):
 
     def _read(self, name: str) -> DataFrame:
         if name not in self._files:
-            self._files[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+            self._files[name] = self._spark.read.schema(SCHEMAS[name]).parquet(f"{self._folder}/{name}.parquet")
         return self._files[name]
 
     def __getitem__(self, table: str) -> DataFrame:

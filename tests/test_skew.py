@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ordergrain.operators.ranking import exact_medians, grouped_medians
+from ordergrain.operators.ranking import _counts_around_medians, exact_medians, grouped_medians
 from ordergrain.plans.cohort import active_months
 from ordergrain.plans.enrich import customers_located, enrich_orders, item_totals, zip_centroids
 from ordergrain.plans.quality import table_profile
@@ -93,6 +93,7 @@ def executed(df):
 def test_hot_order_product_and_seller(tables, lines, small_thresholds):
     df = item_totals(tables)
     rows, plan = executed(df)
+    assert "Expand" not in plan
     got = {r["order_id"]: r for r in rows}
     assert plan.count("skew=true") >= 3
     per_order = {}
@@ -146,6 +147,20 @@ def test_hot_zip_median(tables):
     assert customers_located(tables).where("customer_lat IS NULL").count() == 0
 
 
+def test_hot_zip_is_never_put_in_order_as_a_whole(spark):
+    n = 120_000
+    points = spark.range(n).selectExpr(
+        "CAST(IF(id % 3 = 0, 7, id % 50) AS INT) AS zip", "id * 0.001 AS lat", "CAST(NULL AS DOUBLE) AS lng"
+    ).repartition(6)
+    counts = _counts_around_medians(points, "zip", ["lat", "lng"])
+    hot = counts.where("grp = 7").collect()
+    assert 3 <= len(hot) < n / 3 / 100  # the rows below as one, the values near the median, the missing ones
+    assert max(r["count"] for r in counts.groupBy("grp").count().collect()) == len(hot)
+    got = {r["zip"]: r["lat"] for r in grouped_medians(points, "zip", ["lat", "lng"]).collect()}
+    expected = {r["zip"]: r["lat"] for r in points.groupBy("zip").agg(F.median("lat").alias("lat")).collect()}
+    assert got == expected
+
+
 def test_copies_of_one_row(tables):
     copies = tables["items"].select(F.lit(1).alias("a"), F.lit(None).cast("string").alias("b"))
     assert list(table_profile(copies, "t").first())[1:] == [N, 2, N - 1, N]
