@@ -30,6 +30,7 @@ from ordergrain.plans.late_risk.features import CATEGORICAL_FEATURES, FEATURES
 from ordergrain.plans.report import executive_summary
 from ordergrain.plans.rfm import repeat_rate, rfm, rfm_base, rfm_scores, segment_summary
 from ordergrain.session import materialize
+from ordergrain.sources.tables import typed
 
 # --- building blocks of the enriched table ---------------------------------------------------
 register("a1_zip_medians", lambda i: enrich.zip_centroids(i.tables["geolocation"]), "SELECT * FROM centroids")
@@ -256,14 +257,15 @@ register(
     f'SELECT "table", missing_cells FROM ({_PROFILES_SQL})',
 )
 _ORDER_PROFILE_COLUMNS = ("order_id", "order_status", "order_purchase_timestamp", "is_late")
-register(
-    "a31_order_profile",
-    lambda i: quality.order_profile(i.orders(*_ORDER_PROFILE_COLUMNS)),
-    """SELECT count(DISTINCT order_id) AS orders_total,
+_ORDER_PROFILE_SQL = """SELECT count(DISTINCT order_id) AS orders_total,
         count(DISTINCT CASE WHEN order_status = 'delivered' THEN order_id END) AS delivered_orders,
         avg(CASE WHEN order_status = 'delivered' THEN is_late END) AS late_rate,
         strftime(min(order_purchase_timestamp), '%Y-%m-%d %H:%M:%S') AS date_min,
-        strftime(max(order_purchase_timestamp), '%Y-%m-%d %H:%M:%S') AS date_max FROM e""",
+        strftime(max(order_purchase_timestamp), '%Y-%m-%d %H:%M:%S') AS date_max FROM e"""
+register(
+    "a31_order_profile",
+    lambda i: quality.order_profile(i.orders(*_ORDER_PROFILE_COLUMNS)),
+    _ORDER_PROFILE_SQL,
 )
 register(
     "a32_category_risk",
@@ -272,7 +274,44 @@ register(
     " avg(is_late) AS late_rate FROM d WHERE primary_category IS NOT NULL GROUP BY 1"
     " HAVING count(DISTINCT order_id) >= 500",
 )
-register("quality_report", lambda i: quality.quality_report(i.tables, i.orders(*_ORDER_PROFILE_COLUMNS)))
+
+
+def _quality(i):
+    return quality.quality_report(i.tables, i.orders(*_ORDER_PROFILE_COLUMNS))
+
+
+register("quality_report", _quality)
+register(
+    "quality_report_rows",
+    lambda i: quality.quality_rows(_quality(i)),
+    f"""SELECT "table", rows, columns, duplicate_rows, missing_cells, CAST(0 AS BIGINT) AS unreadable_cells, totals.*
+    FROM ({_PROFILES_SQL}) AS profiles, ({_ORDER_PROFILE_SQL}) AS totals""",
+)
+
+
+def _items_as_text(i):
+    """The line items as the text cells of a file, in which some numbers and dates are broken or missing."""
+    return i.parquet("lineitem").selectExpr(
+        "CAST(l_orderkey AS STRING) AS id",
+        "CASE WHEN l_orderkey % 89 = 0 THEN '12,5 R$' WHEN l_orderkey % 97 = 0 THEN 'NA' ELSE CAST(l_quantity AS STRING) END"
+        " AS amount",
+        "CASE WHEN l_orderkey % 101 = 0 THEN '2018-02-31' WHEN l_orderkey % 103 = 0 THEN '' ELSE CAST(l_shipdate AS STRING) END"
+        " AS day",
+    )
+
+
+register(
+    "a30_unreadable_cells",
+    lambda i: quality.table_size(
+        typed(_items_as_text(i), {"id": "bigint", "amount": "double", "day": "timestamp_ntz"}, unreadable=True), "items"
+    ),
+    """SELECT 'items' AS "table", count(*) AS rows, CAST(3 AS INT) AS columns, missing + unreadable AS missing_cells,
+              unreadable AS unreadable_cells
+    FROM (SELECT count(*) FILTER (l_orderkey % 89 = 0) + count(*) FILTER (l_orderkey % 101 = 0) AS unreadable,
+                 count(*) FILTER (l_orderkey % 89 <> 0 AND l_orderkey % 97 = 0)
+                 + count(*) FILTER (l_orderkey % 101 <> 0 AND l_orderkey % 103 = 0) AS missing FROM lineitem), lineitem
+    GROUP BY missing, unreadable""",
+)
 
 # --- windows and whole products ----------------------------------------------------------------------------
 register(

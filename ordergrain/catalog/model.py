@@ -282,8 +282,15 @@ register(
 # --- trained products: every query trains on the tables as they are -----------------------------------
 
 
+_RUNS: dict[tuple[str, str], train.TrainingRun] = {}
+
+
 def _run(i):
-    return train.train_late_risk(i.orders(*features.MODEL_COLUMNS))
+    """The training run of a folder, once per application: all its products come from one run."""
+    key = (i.spark.sparkContext.applicationId, i.folder)
+    if key not in _RUNS:
+        _RUNS[key] = train.train_late_risk(i.orders(*features.MODEL_COLUMNS))
+    return _RUNS[key]
 
 
 def _coefficients(i):
@@ -297,14 +304,89 @@ register(
     "m11_random_forest",
     lambda i: train.feature_importance(train.fit_model(_fit_rows(i), "random_forest"), count=None),
 )
+# The greatest derivative by row at which the regression counts as solved.
+GRADIENT_BOUND = 1e-4
+
+
+def _optimum(i):
+    rows = _fit_rows(i)
+    return train.optimum(train.fit_model(rows, "logistic_regression"), rows)
+
+
+register(
+    "m10_optimum",
+    lambda i: _optimum(i).select(
+        "rows",
+        (F.col("gradient") <= GRADIENT_BOUND).alias("gradient_is_zero"),
+        (F.col("loss") <= F.col("shifted_loss")).alias("loss_is_least"),
+    ),
+    _ROWS_SQL + "\nSELECT count(*) AS rows, true AS gradient_is_zero, true AS loss_is_least FROM fit",
+)
 register("m12_predictions", lambda i: _run(i).predictions())
+register(
+    "m12_predicted_rows",
+    lambda i: _run(i).predictions().select(
+        *features.KEYS, "is_late", F.col("late_probability").between(0, 1).alias("probable"),
+        ((F.col("late_probability") >= _run(i).threshold).cast("int") == F.col("predicted_late")).alias("by_threshold"),
+    ),
+    _ROWS_SQL + "\nSELECT order_id, order_purchase_timestamp, is_late, true AS probable, true AS by_threshold"
+    " FROM sliced WHERE split = 'test'",
+)
 register("m18_validation_metrics", lambda i: _run(i).validation)
+
+
+def _baseline_sql(learned, measured):
+    """Ranking and threshold metrics when the rows ``measured`` all get the late rate of the rows ``learned``."""
+    return (
+        _ROWS_SQL + f""", base AS (
+    SELECT is_late, (SELECT avg(is_late) FROM sliced WHERE {learned}) AS score FROM sliced WHERE {measured}
+)"""
+        + _ranking_sql("base", "score", "ranked") + _threshold_sql("base", "score", "0.5e0", "chosen")
+    )
+
+
+register(
+    "m18_validated_baseline",
+    lambda i: _run(i).validation.where("model = 'dummy'"),
+    _baseline_sql("split = 'fit'", "split = 'validation'")
+    + "\nSELECT 'dummy' AS model, pr_auc, roc_auc, precision, recall, f1, 0.5e0 AS threshold FROM ranked, chosen",
+    rounded=("pr_auc",),
+)
 register("m19_feature_importance", lambda i: _run(i).importance())
 register("o6_top_importances", lambda i: train.top_importances(_run(i).importance()))
 register("m20_metrics_record", lambda i: train.metrics_record(_run(i)))
+register(
+    "m20_slices",
+    lambda i: train.metrics_record(_run(i)).select(
+        "target", "positive_rate_train", "positive_rate_test", "train_rows", "test_rows", "train_end", "test_start",
+        "baseline_test.*", F.array_join("features", ",").alias("features"),
+    ),
+    _baseline_sql("split <> 'test'", "split = 'test'") + f"""
+SELECT '{train.TARGET}' AS target, '{",".join(features.FEATURES)}' AS features, slices.*, ranked.*, chosen.* FROM ranked, chosen, (
+    SELECT avg(is_late) FILTER (split <> 'test') AS positive_rate_train, avg(is_late) FILTER (split = 'test') AS positive_rate_test,
+           count(*) FILTER (split <> 'test') AS train_rows, count(*) FILTER (split = 'test') AS test_rows,
+           strftime(max(order_purchase_timestamp) FILTER (split <> 'test'), '%Y-%m-%d %H:%M:%S') AS train_end,
+           strftime(min(order_purchase_timestamp) FILTER (split = 'test'), '%Y-%m-%d %H:%M:%S') AS test_start FROM sliced
+) AS slices""",
+    rounded=("pr_auc", "positive_rate_train", "positive_rate_test"),
+)
 register("m20_test_comparison", lambda i: train.comparison_rows(train.metrics_record(_run(i))))
 register("f22_model_summary", lambda i: model_summary(train.metrics_record(_run(i))))
 register(
     "scenario_scores",
     lambda i: scenario.scenario_scores(_run(i).fitted.pipeline, i.delivered("order_id", *features.FEATURES)),
 )
+
+_VIOLATIONS_SQL = ", ".join(
+    f"CASE WHEN NOT coalesce({c} BETWEEN {low} AND {high}, false) THEN '{c}' END" for c, (low, high) in scenario.RANGES.items()
+)
+register(
+    "scenario_rows",
+    lambda i: scenario.scenario_scores(_run(i).fitted.pipeline, i.delivered("order_id", *features.FEATURES)).select(
+        "order_id",
+        F.array_join("violations", ",").alias("violations"),
+        F.col("late_probability").isNotNull().alias("scored"),
+    ),
+    f"""SELECT order_id, violations, violations = '' AS scored
+    FROM (SELECT order_id, concat_ws(',', {_VIOLATIONS_SQL}) AS violations FROM d)""",
+)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import (
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from ordergrain.operators.primary import value_counts
 from ordergrain.operators.ranking import Place, after_key, exact_medians, order_statistics
 from ordergrain.plans.kpis import delivered_orders
+from ordergrain.plans.late_risk.rare import RareCategories
+from ordergrain.session import materialize
 
 # The features known at checkout, and the outcomes that must stay out of them.
 NUMERIC_FEATURES = (
@@ -115,14 +117,19 @@ def chronological_split(
 
 @dataclass(frozen=True)
 class FeatureStatistics:
-    """What the preparation learns from the rows it is fitted on."""
+    """What the preparation learns from the rows it is fitted on.
+
+    Only categories with a slot of their own are held here; the rare ones, of which there may be as
+    many as rows, stay in the table ``rare`` (``column``, ``value``).
+    """
 
     medians: dict[str, float]
     means: dict[str, float]
     scales: dict[str, float]
     most_frequent: dict[str, str]
     frequent: dict[str, list[str]]
-    infrequent: dict[str, list[str]]
+    with_rare: tuple[str, ...]
+    rare: DataFrame = field(compare=False)
 
 
 def numeric_moments(rows: DataFrame, medians: dict[str, float]) -> DataFrame:
@@ -160,22 +167,22 @@ def category_slots(rows: DataFrame) -> DataFrame:
 def learn_statistics(rows: DataFrame) -> FeatureStatistics:
     medians = {c: v if v is not None else 0.0 for c, v in exact_medians(rows, NUMERIC_FEATURES).items()}
     moments = numeric_moments(rows, medians).first()
-    by_column: dict[str, list] = {c: [] for c in CATEGORICAL_FEATURES}
-    for row in category_slots(rows).collect():  # as many rows as the model has category inputs
-        by_column[row["column"]].append(row)
+    slots = materialize(category_slots(rows))
+    own = slots.where(F.col("n") >= MIN_CATEGORY_ROWS)
+    rare = slots.where(F.col("n") < MIN_CATEGORY_ROWS).select("column", "value")
+    frequent: dict[str, list[str]] = {c: [] for c in CATEGORICAL_FEATURES}
+    for row in own.select("column", "value").collect():  # as many rows as the model has category inputs
+        frequent[row["column"]].append(row["value"])
+    top = F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("top")
+    by_column = slots.groupBy("column").agg(top, F.min("n").alias("least")).collect()  # one row per feature
     return FeatureStatistics(
         medians=medians,
         means={c: moments[f"{c}_mean"] for c in NUMERIC_FEATURES},
         scales={c: moments[f"{c}_std"] or 1.0 for c in NUMERIC_FEATURES},
-        most_frequent={
-            c: min(found, key=lambda r: (-r["n"], r["value"]))["value"] for c, found in by_column.items() if found
-        },
-        frequent={
-            c: sorted(r["value"] for r in found if r["slot"] != INFREQUENT) for c, found in by_column.items()
-        },
-        infrequent={
-            c: sorted(r["value"] for r in found if r["slot"] == INFREQUENT) for c, found in by_column.items()
-        },
+        most_frequent={row["column"]: row["top"] for row in by_column},
+        frequent={c: sorted(values) for c, values in frequent.items()},
+        with_rare=tuple(sorted(row["column"] for row in by_column if row["least"] < MIN_CATEGORY_ROWS)),
+        rare=rare,
     )
 
 
@@ -194,9 +201,8 @@ def _prepare_sql(learned: FeatureStatistics) -> str:
     for c in CATEGORICAL_FEATURES:
         top = learned.most_frequent.get(c)
         value = f"coalesce({c}, {_literal(top)})" if top is not None else c
-        rare = ", ".join(_literal(v) for v in learned.infrequent[c])
-        if rare:
-            value = f"CASE WHEN {value} IN ({rare}) THEN {_literal(INFREQUENT)} ELSE {value} END"
+        if c in learned.with_rare:
+            value = f"IF({RareCategories.mark(c)}, {_literal(INFREQUENT)}, {value})"
         parts.append(f"{value} AS slot__{c}")
     return f"SELECT {', '.join(parts)} FROM __THIS__"
 
@@ -204,7 +210,7 @@ def _prepare_sql(learned: FeatureStatistics) -> str:
 def slot_labels(learned: FeatureStatistics) -> dict[str, list[str]]:
     """One-hot slots per categorical feature: own slots in order, the shared slot last."""
     return {
-        c: learned.frequent[c] + ([INFREQUENT] if learned.infrequent[c] else [])
+        c: learned.frequent[c] + ([INFREQUENT] if c in learned.with_rare else [])
         for c in CATEGORICAL_FEATURES
     }
 
@@ -220,11 +226,13 @@ def feature_names(learned: FeatureStatistics) -> list[str]:
 def preparation_stages(rows: DataFrame, learned: FeatureStatistics) -> list[Transformer]:
     """Fitted stages from raw features to the ``features`` vector.
 
-    A value unseen when fitting gets no slot. All stages are native, so the pipeline they are
-    part of can be saved and loaded.
+    A value unseen when fitting gets no slot. The pipeline they are part of can be saved and loaded; the
+    rare categories are a table beside it.
     """
     used = {c: labels for c, labels in slot_labels(learned).items() if labels}
     prepare = SQLTransformer(statement=_prepare_sql(learned))
+    fallbacks = {c: learned.most_frequent[c] for c in learned.with_rare}
+    marking = [RareCategories(learned.rare, fallbacks)] if fallbacks else []
     indexers = [
         StringIndexerModel.from_labels(
             labels, inputCol=f"slot__{c}", outputCol=f"index__{c}", handleInvalid="keep"
@@ -236,9 +244,9 @@ def preparation_stages(rows: DataFrame, learned: FeatureStatistics) -> list[Tran
         inputCols=[f"index__{c}" for c in used],
         outputCols=[f"onehot__{c}" for c in used],
         dropLast=True,
-    ).fit(PipelineModel([prepare, *indexers]).transform(rows.limit(0)))
+    ).fit(PipelineModel([*marking, prepare, *indexers]).transform(rows.limit(0)))
     assemble = VectorAssembler(
         inputCols=[f"numeric__{c}" for c in NUMERIC_FEATURES] + [f"onehot__{c}" for c in used],
         outputCol="features",
     )
-    return [prepare, *indexers, encode, assemble]
+    return [*marking, prepare, *indexers, encode, assemble]

@@ -14,12 +14,13 @@ from ordergrain.plans.late_risk.train import metrics_record, save_model, train_l
 from ordergrain.plans.quality import quality_report
 from ordergrain.plans.rfm import rfm
 from ordergrain.sources.sinks import write_enriched, write_record, write_summary
-from ordergrain.sources.tables import read_derived, read_enriched, read_record
+from ordergrain.sources.tables import UNREADABLE, read_derived, read_enriched, read_record
 
 
 def write_products(tables: Mapping[str, DataFrame], folder: str, spark: SparkSession) -> DataFrame:
     """Write the enriched orders once, then every table computed from the stored copy."""
-    write_enriched(enrich_orders(tables), f"{folder}/orders")
+    data = {name: df.drop(UNREADABLE) for name, df in tables.items()}
+    write_enriched(enrich_orders(data), f"{folder}/orders")
     orders = read_enriched(spark, f"{folder}/orders")
     write_summary(monthly_kpis(orders).orderBy("purchase_year_month"), f"{folder}/monthly")
     write_summary(by_revenue(category_performance(orders), "primary_category"), f"{folder}/category")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +18,21 @@ from ordergrain.sources.schemas import (
 )
 
 
-def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Null the missing-value texts, then cast by name; unreadable cells become null."""
-    columns = []
+# Column in which a reader counts, per row, the cells whose text is no value of their type.
+UNREADABLE = "_unreadable_cells"
+
+
+def typed(df: DataFrame, types: dict[str, str], *, unreadable: bool = False) -> DataFrame:
+    """Null the missing-value texts, then cast by name; unreadable cells become null, and are counted if asked for."""
+    columns, lost = [], [F.lit(0)]
     for name in df.columns:
         cell = null_if_missing(F.col(f"`{name}`"))
-        columns.append((cell.try_cast(types[name]) if name in types else cell).alias(name))
-    return df.select(columns)
+        value = cell.try_cast(types[name]) if name in types else cell
+        columns.append(value.alias(name))
+        if name in types:
+            lost.append((cell.isNotNull() & value.isNull()).cast("int"))
+    counted = [reduce(lambda a, b: a + b, lost).alias(UNREADABLE)] if unreadable else []
+    return df.select(*columns, *counted)
 
 
 def read_csv(
@@ -32,16 +41,17 @@ def read_csv(
     types: dict[str, str],
     *,
     line_breaks: bool = True,
+    unreadable: bool = False,
 ) -> DataFrame:
     """Read a CSV by its header; every cell starts as text, so column order is free.
 
     The parts of one table must have equal headers, or reading them fails. ``line_breaks`` accepts
     quoted cells that span lines. Such a file cannot be split, so each part is one task; without them
-    Spark reads a large file in parallel.
+    Spark reads a large file in parallel. ``unreadable`` adds the column ``UNREADABLE``.
     """
     reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"')
     reader = reader.option("multiLine", line_breaks)
-    return _typed(reader.csv(path), types)
+    return typed(reader.csv(path), types, unreadable=unreadable)
 
 
 def _source_of(path: str, folder: str, prefix: str, search: bool) -> tuple[str, str] | None:
@@ -97,14 +107,18 @@ def read_sources(
     prefix: str = "",
     search: bool = False,
     free_text: tuple[str, ...] = FREE_TEXT_TABLES,
+    unreadable: bool = False,
 ) -> dict[str, DataFrame]:
-    """The nine source tables, each with all its parts; names every missing file before reading any."""
+    """The nine source tables, each with all its parts; names every missing file before reading any.
+
+    ``unreadable`` adds the column ``UNREADABLE`` to each, for the quality record.
+    """
     paths = find_sources(spark, folder, prefix=prefix, search=search)
     missing = [prefix + name for table, name in SOURCE_FILES.items() if table not in paths]
     if missing:
         raise FileNotFoundError("Missing source files: " + ", ".join(missing))
     return {
-        table: read_csv(spark, paths[table], SOURCE_TYPES[table], line_breaks=table in free_text)
+        table: read_csv(spark, paths[table], SOURCE_TYPES[table], line_breaks=table in free_text, unreadable=unreadable)
         for table in SOURCE_FILES
     }
 

@@ -123,7 +123,8 @@ def test_learned_statistics_equal_numpy(rows):
         assert learned.scales[c] == pytest.approx(filled.std(ddof=0) or 1.0)
     assert learned.scales["unique_product_count"] == 1.0
     assert learned.most_frequent["customer_state"] == "SP"
-    assert learned.infrequent["primary_payment_type"] == ["rare"]  # 12 rows
+    assert learned.with_rare == ("primary_payment_type",)  # 12 rows
+    assert [tuple(r) for r in learned.rare.collect()] == [("primary_payment_type", "rare")]
 
 
 def test_rare_and_unseen_categories(table):
@@ -156,6 +157,26 @@ def test_category_names_with_quotes(table):
     assert PipelineModel(stages).transform(fit).where("slot__primary_payment_type <> primary_payment_type").count() == 0
 
 
+def test_a_hundred_thousand_categories(spark, tmp_path):
+    n = 100_000
+    numbers = [F.lit(1.0).alias(c) if k else (F.col("id") % 7).cast("double").alias(c) for k, c in enumerate(features.NUMERIC_FEATURES)]
+    kinds = [F.when(F.col("id") % 4 == 0, "common").otherwise(F.concat(F.lit("it's "), "id")).alias(c) for c in features.CATEGORICAL_FEATURES[:1]]
+    kinds += [F.lit("one").alias(c) for c in features.CATEGORICAL_FEATURES[1:]]
+    rows = spark.range(4 * n // 3 + 1).select(
+        F.col("id").alias("order_id"), F.timestamp_add("MINUTE", F.col("id").cast("int"), F.lit("2018-01-01").cast("timestamp_ntz")).alias("order_purchase_timestamp"),
+        (F.col("id") % 5 == 0).cast("int").alias("is_late"), *numbers, *kinds,
+    )
+    learned = features.learn_statistics(rows)
+    assert learned.frequent["customer_state"] == ["common"] and learned.rare.count() == n
+    stages = features.preparation_stages(rows, learned)
+    assert len(stages[1].getStatement()) < 5_000
+    train.save_model(PipelineModel(stages), str(tmp_path / "stages"))
+    probe = rows.where("order_id IN (4, 5)").unionByName(rows.limit(1).withColumns({"order_id": F.lit(-1).cast("long"), "customer_state": F.lit("new")}))
+    for model in (PipelineModel(stages), train.load_model(str(tmp_path / "stages"))):
+        slots = {r["order_id"]: r["v"][13:15] for r in model.transform(probe).select("order_id", vector_to_array("features").alias("v")).collect()}
+        assert slots == {4: [1.0, 0.0], 5: [0.0, 1.0], -1: [0.0, 0.0]}
+
+
 # --- metrics -------------------------------------------------------------------------------------
 
 
@@ -219,6 +240,11 @@ def test_logistic_regression_solves_the_weighted_l2_problem(rows):
     residual = weight * (1 / (1 + np.exp(-(x @ b + model.intercept))) - y)
     gradient = np.r_[x.T @ residual + b, residual.sum()]
     assert np.abs(gradient).max() < 0.02
+    checked = train.optimum(fitted, rows).first()
+    assert checked["gradient"] == pytest.approx(np.abs(gradient).max() / len(y), rel=1e-3, abs=1e-12)
+    margin = x @ b + model.intercept
+    loss = (weight * np.logaddexp(0, np.where(y == 1, -margin, margin))).mean() + b @ b / 2 / len(y)
+    assert checked["loss"] == pytest.approx(loss) and checked["loss"] < checked["shifted_loss"]
     importance = train.feature_importance(fitted, 1000).collect()
     assert {r["feature"] for r in importance} == set(features.feature_names(fitted.learned))
     assert importance[0]["importance"] == pytest.approx(np.abs(b).max())

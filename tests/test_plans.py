@@ -131,9 +131,27 @@ def test_quality_report(tables, orders, table):
     assert report["date_min"] == "2018-01-01 12:00:00"
 
 
+def test_duplicates_by_digest(table):
+    rows = [("a", None), (None, "a"), ("a", None), ("", "a"), ("a", ""), ("aa", None), (None, None), (None, None), (None, None)]
+    df = table("x string, y string", *rows)
+    counted = quality.duplicate_rows(df, "t")
+    assert counted.first()["duplicate_rows"] == len(rows) - len(set(rows)) == 3
+    shuffled = [line for line in counted._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hash" in line]
+    assert shuffled and all("__digest" in line and "x#" not in line for line in shuffled)
+    numbers = table("v double, n int", (0.0, 1), (-0.0, 1), (1.0, 2), (float("nan"), 2), (float("nan"), 2))
+    assert quality.duplicate_rows(numbers, "t").first()["duplicate_rows"] == 2
+
+
+def test_quality_rows_repeat_the_record(tables, orders):
+    report = quality.quality_report(tables, orders)
+    rows = {r["table"]: r for r in quality.quality_rows(report).collect()}
+    assert len(rows) == 9 and all(r["orders_total"] == 6 for r in rows.values())
+    assert rows["reviews"]["rows"] == report.first()["tables"]["reviews"]["rows"]
+
+
 def test_profile_of_an_empty_table(table):
     empty = table("a int, b int", (1, 1)).where("a = 2")
-    assert list(quality.table_profile(empty, "t").first())[1:] == [0, 2, 0, 0]
+    assert list(quality.table_profile(empty, "t").first())[1:] == [0, 2, 0, 0, 0]
 
 
 def test_executive_summary(orders):

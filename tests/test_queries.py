@@ -16,7 +16,7 @@ QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
 OWN = set(all_queries())  # without those of the optional subpackage, which has tests of its own
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
-    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
 }
 # These train models; tests/test_late_risk.py covers them on smaller forests.
 TRAINED = {

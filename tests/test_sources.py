@@ -4,8 +4,9 @@ import pytest
 from commerce import commerce_tables
 from pyspark.sql import functions as F
 
-from ordergrain.plans import kpis
+from ordergrain.plans import kpis, quality
 from ordergrain.plans.enrich import enrich_orders
+from ordergrain.plans.products import write_products
 from ordergrain.sources import sinks, tables as readers
 from ordergrain.sources.schemas import SOURCE_FILES, SOURCE_TYPES
 
@@ -146,3 +147,22 @@ def test_record_round_trip(spark, tmp_path):
 def test_orders_view(spark):
     readers.register_orders_view(readers.literal_table(spark, [{"order_id": 1}, {"order_id": 2}]), "v_orders")
     assert spark.sql("SELECT count(*) AS n FROM v_orders").first()["n"] == 2
+
+
+def test_unreadable_cells_are_counted(spark, tmp_path):
+    file = tmp_path / "orders.csv"
+    file.write_text("id,amount,day,note\n1,2.5,2018-01-01 10:00:00,x\n2,\"2,5\",2018-02-30,y\n3,,NA,z\nfour,nan,,\n")
+    types = {"id": "int", "amount": "double", "day": "timestamp_ntz"}
+    df = readers.read_csv(spark, str(file), types, unreadable=True)
+    assert [r[readers.UNREADABLE] for r in df.orderBy("note").collect()] == [1, 0, 2, 0]
+    profile = quality.table_profile(df, "t").first()
+    assert list(profile) == ["t", 4, 4, 0, 8, 3]  # table, rows, columns, duplicates, null cells, unreadable ones
+    assert quality.table_profile(df.drop(readers.UNREADABLE), "t").first()["unreadable_cells"] == 0
+
+
+def test_marked_sources_give_the_same_products(spark, folder, tmp_path):
+    loaded = readers.read_sources(spark, str(folder), prefix="shop_", unreadable=True)
+    orders = write_products(loaded, str(tmp_path / "out"), spark)
+    assert orders.count() == 6 and readers.UNREADABLE not in orders.columns
+    record = readers.read_record(spark, str(tmp_path / "out" / "quality")).first()
+    assert record["tables"]["orders"]["unreadable_cells"] == 0
