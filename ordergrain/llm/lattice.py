@@ -36,7 +36,7 @@ from ordergrain.llm.graph import components, local_roots
 from ordergrain.llm.storage import stored
 from ordergrain.llm.textbytes import mix, releasing, signed
 
-TABLES, PROBES, CELL = 4, 6, 0.2
+TABLES, PROBES, CELL = 4, 6, 0.2  # the cell is that of 64 components and a threshold of 0.95
 CHUNK, GROUP_ROWS, SLAB = 1024, 8192, 128
 _VALID = (
     "{id} IS NOT NULL AND size({vec}) > 0 AND forall({vec}, x -> x IS NOT NULL AND abs(x) < double('infinity'))"
@@ -88,7 +88,11 @@ def _cell_ids(points: np.ndarray, table: int) -> np.ndarray:
 
 
 def cells(vectors: np.ndarray, tables: int, probes: int, cell: float) -> np.ndarray:
-    """Cell ids of unit vectors, (vectors, tables, 1 + probes): the own cell, then the probed ones."""
+    """Cell ids of unit vectors, (vectors, tables, 1 + probes): the own cell, then the probed ones.
+
+    A projection keeps a larger part of a narrower vector, so the cell grows with the root of 64 / width.
+    """
+    cell = cell * np.sqrt(64 / vectors.shape[1])
     found = np.zeros((len(vectors), tables, 1 + probes), dtype=np.uint64)
     for t in range(tables):
         points = vectors @ _directions(vectors.shape[1], t) / cell
@@ -126,9 +130,11 @@ def similar_vectors(
     threshold: float = 0.95,
     tables: int = TABLES,
     probes: int = PROBES,
-    cell: float = CELL,
+    cell: float | None = None,
 ) -> DataFrame:
     """Per row: id, n_links (other vectors linked directly), component_id, kept."""
+    if cell is None:  # in proportion to the distance of unit vectors at the threshold
+        cell = CELL * float(np.sqrt((1 - threshold) / 0.05))
     valid = vectors.where(_VALID.format(id=f"`{id}`", vec=f"`{vector}`")).select(
         F.col(id).alias("id"), F.col(vector).alias("vec")
     )

@@ -84,17 +84,18 @@ def test_large_group_in_chunks(spark, monkeypatch):
     check(spark, clusters(4, [150, 60, 3, 1, 1], noise=0.21))
 
 
-def test_recall_at_the_threshold(spark):
+@pytest.mark.parametrize("width", [8, 16, 32, 64])
+def test_recall_at_the_threshold(spark, width):
     random = np.random.default_rng(5)
     rows = []
     for k in range(400):
-        x, z = random.normal(size=(2, 64))
+        x, z = random.normal(size=(2, width))
         x /= np.linalg.norm(x)
         z -= (z @ x) * x
         z /= np.linalg.norm(z)
         rows += [(2 * k, x.tolist()), (2 * k + 1, (0.951 * x + math.sqrt(1 - 0.951**2) * z).tolist())]
     found = lattice.similar_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
-    assert sum(r.n_links for r in found) >= 0.999 * 800
+    assert sum(r.n_links > 0 for r in found) >= 0.999 * 800
 
 
 def test_awkward_vectors(spark):
