@@ -17,9 +17,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test data")
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = set(entry_point.queries())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= names
     assert set(ORACLES) <= set(entry_point.oracle_sql()) and "pipeline" not in entry_point.oracle_sql()
     assert [f.__module__ for _, f in corpus_pipeline.STAGES] == ["corpus_pipeline"] * 5
@@ -28,7 +28,7 @@ def test_ten_operators_and_the_pipeline_are_registered():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_sql(spark, name):
     duck = duckdb.connect()
-    for view in ("documents", "embeddings"):
+    for view in ("documents", "embeddings", "conversations"):
         duck.sql(f"CREATE VIEW {view} AS SELECT * FROM '{FOLDER}/{view}.parquet'")
     found, expected = QUERIES[name](spark, FOLDER), duck.sql(ORACLES[name])
     columns = sorted(found.columns)
