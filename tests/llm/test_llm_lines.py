@@ -61,3 +61,66 @@ def test_other_columns_stay(documents, awkward):
 
 def test_empty_table(documents):
     assert lines.remove_repeated_lines(documents([])).collect() == []
+
+
+def numbered(documents, rows):
+    return documents(rows).select(F.col("doc_id").alias("id"), lines.text_row("doc_id", "text").alias("row"), "text")
+
+
+@pytest.mark.parametrize("window", [2, 4, 8])
+def test_fewer_fingerprints_than_windows(documents, window):
+    texts = [(k, "\n".join(f"line {k} {j * 7919 % 101}" for j in range(100))) for k in range(30)]
+    stored = lines.fingerprints(numbered(documents, texts), window).count()
+    windows = 30 * (101 - window)
+    assert stored < 1.15 * windows * 2 / (window + 1)
+
+
+def test_equal_windows_share_their_fingerprint(documents):
+    chosen = random.Random(3)
+    window = 4
+    rows = [(k, "\n".join(f"l{chosen.randrange(30)}" for _ in range(40))) for k in range(20)]
+    found = lines.fingerprints(numbered(documents, rows), window).collect()
+    reach = {(r.id, r.line): (len(r.before), len(r.after), r.print) for r in found}
+    prints = {}
+    for key, text in rows:
+        parts = text.split("\n")
+        for at in range(len(parts) - window + 1):
+            # Exactly one fingerprint claims the window, the same one wherever the window stands.
+            own = [
+                (i - at, reach[key, i][2])
+                for i in range(at, at + window)
+                if (key, i) in reach and reach[key, i][0] >= i - at and reach[key, i][1] >= at + window - 1 - i
+            ]
+            assert len(own) == 1
+            assert prints.setdefault(tuple(parts[at : at + window]), own[0]) == own[0]
+
+
+def test_runs_are_maximal(documents):
+    shared = "\n".join(f"shared {j}" for j in range(9))
+    rows = [(1, f"a\n{shared}\nb"), (2, f"c\n{shared}\nd")]
+    found = lines.repeated_runs(numbered(documents, rows), 4).collect()
+    covered = {k for r in found for k in range(r.line, r.line + r.size)}
+    assert covered == set(range(1, 10)) and {r.id for r in found} == {2} and max(r.size for r in found) > 4
+
+
+@pytest.mark.parametrize("window", [2, 3])
+def test_long_lines_go_alone(documents, window):
+    long, other = "x" * 50, "y" * 50
+    rows = [(1, f"a\n{long}\nb\n{other}"), (2, f"c\n{long}\nd"), (3, f"a\n{long}\nz"), (4, f"{other}\nshort"), (5, "short")]
+    found = lines.remove_repeated_lines(documents(rows), window=window, alone=40).orderBy("doc_id").collect()
+    third = "z" if window == 2 else "a\nz"
+    assert [r.text for r in found] == [rows[0][1], "c\nd", third, "short", "short"]
+
+
+def test_different_texts_of_one_id(documents):
+    rows = [(1, "a\nb\nc"), (1, "x\na\nb"), (None, "a\nb"), (None, "q\nr")]
+    found = lines.remove_repeated_lines(documents(rows)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in found) == [(0, "a\nb"), (0, "q\nr"), (1, "c"), (1, "x")]
+
+
+def test_colliding_hashes_keep_texts_apart(documents, monkeypatch):
+    monkeypatch.setattr(
+        lines, "text_row", lambda key, text: F.struct(F.lit(7).cast("long").alias("a"), F.xxhash64(text, key).alias("b"))
+    )
+    rows = [(k, "\n".join(f"{k // 2} {j}" for j in range(k + 2))) for k in range(40)]
+    check(documents, rows, 2)
