@@ -19,7 +19,8 @@ which is a unit of work.
 
 Defined results: null and empty texts and texts without words have an empty set and link with
 nothing; rows with a null id link with nothing and have a null component; repeated rows share their
-component; other columns are left out; an empty table gives an empty table. Shingles are compared
+component; different texts under one id are all compared, and the id belongs to the component of each of them,
+which are one; other columns are left out; an empty table gives an empty table. Shingles are compared
 by 64-bit hash.
 """
 
@@ -318,10 +319,49 @@ def _labels(links: DataFrame) -> DataFrame:
     return components(links, "a", "b").select(F.col("id").alias("rep"), F.col("component").alias("label"))
 
 
+def _texts_apart(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """``docs`` as id, node and text, and the ids with different texts.
+
+    The node is the id; a text of an id with different texts has a node of its own, a hash of both.
+    """
+    kind = docs.schema[key].dataType
+    plain = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    print_ = F.xxhash64("text")
+    several = plain.where("id IS NOT NULL").groupBy("id").agg(F.min(print_).alias("low"), F.max(print_).alias("high"))
+    several = stored(several.where("low <> high").select("id"))
+    marked = plain.join(several.withColumn("own", F.lit(True)), "id", "left")
+    wide = T.LongType() if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)) else kind
+    node = F.when(F.col("own"), F.xxhash64("id", "text").cast(wide)).otherwise(F.col("id").cast(wide))
+    return marked.select("id", node.alias("node"), "text"), several
+
+
+def _named_by_id(rows: DataFrame, nodes: DataFrame, several: DataFrame) -> DataFrame:
+    """``rows`` of nodes with the ids of the nodes; components that share an id are one, named by the smallest id."""
+    ids = nodes.join(several, "id", "left_semi").select("node", "id").distinct()
+    named = rows.join(ids, "node", "left").withColumn("id", F.coalesce("id", F.col("node").cast(nodes.schema["id"].dataType)))
+    named = stored(named)
+    least = named.groupBy("component_id").agg(F.min("id").alias("least"))
+    links = named.join(least, "component_id").where("id <> least").select("id", "least").distinct()
+    labels = components(links, "id", "least")
+    component = F.coalesce("component", "id")
+    return named.drop("component_id", "kept").join(labels, "id", "left").select(
+        "id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = 85
 ) -> DataFrame:
     """Per row: key, n_shingles, component_id (smallest id reachable by links), kept."""
+    nodes, several = _texts_apart(docs, key, text)
+    if several.isEmpty():
+        return _groups(docs, key, text, words, percent)
+    rows = _groups(nodes.select("node", "text"), "node", "text", words, percent)
+    return _named_by_id(rows, nodes, several).withColumnRenamed("id", key)
+
+
+def _groups(docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
+    """The groups of documents of which an id has one text."""
     kind = docs.schema[key].dataType.simpleString()
     sketched = stored(_sketch(docs, key, text, words))
     usable = sketched.where("key IS NOT NULL AND n > 0")

@@ -133,3 +133,17 @@ def test_components(spark, shape):
         a, b = root(a), root(b)
         parent[max(a, b)] = min(a, b)
     assert {r.id: r.component for r in found} == {k: root(k) for k in list(parent) if root(k) != k}
+
+
+def test_different_texts_of_one_id(documents):
+    a, b = prose(71, 80), prose(72, 80)
+    check(documents, [(1, a), (1, b), (2, b + " more"), (3, a + " more"), (4, prose(73, 80)), (None, a)])
+
+
+def test_repeated_ids_against_brute_force(documents):
+    chosen, rows = random.Random(5), []
+    for base in range(12):
+        text = prose(500 + base, 60)
+        rows += [(chosen.randrange(30), edited(text, 31 * base + k, k)) for k in range(4)]
+    rows += [(3, None), (3, ""), (rows[0][0], rows[0][1]), (100, rows[0][1])]
+    check(documents, rows)
