@@ -7,7 +7,7 @@ table gives an empty table. Of rows equal in id and text one is left after the n
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordergrain.llm import lines, minhash, packing, quality, substrings
@@ -18,6 +18,7 @@ ALONE = 40  # characters from which a repeated line goes whatever its neighbours
 SIMILAR = 80  # least Jaccard similarity of near duplicates, in percent
 PASSAGE = 200  # bytes; 51 words of the test documents have more in all but 3 of 10,000 places
 
+
 def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
     """The columns of ``docs`` from ``changed``, whose text may differ."""
     if "n_chars" in docs.columns:
@@ -25,6 +26,11 @@ def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
     return changed.select(*(f"`{c}`" for c in docs.columns))
 
 
+def _hashes() -> tuple[Column, Column]:
+    """Two hashes of a document's id and text; only both together tell documents apart."""
+    return F.xxhash64("doc_id", "text"), F.xxhash64("text", "doc_id")
+
+
 def filter_by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     ship_package(spark)
@@ -40,18 +46,22 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every group of near duplicates, that with the smallest id; a null id comes last.
 
-    Rows are told apart by id and text: repeated rows are one, rows with null ids take part by their
+    Rows are told apart by two hashes of id and text: repeated rows are one, rows with null ids take part by their
     text, and different texts with one id are documents of their own.
     """
     ship_package(spark)
-    document = F.xxhash64("doc_id", "text").alias("_document")
-    told = docs.select("doc_id", "text", document)
+    document, other = _hashes()
+    told = docs.select("doc_id", "text", document.alias("_document"), other.alias("_other"))
     groups = minhash.near_duplicates(told, key="_document", percent=SIMILAR).select("_document", "component_id").distinct()
-    ids = told.select("_document", "doc_id").distinct()
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_document")
-    kept = groups.join(ids, "_document").groupBy("component_id").agg(F.min(order).alias("least")).select("least._document")
-    once = docs.select("*", document).dropDuplicates(["_document"])
-    return once.join(kept, "_document", "left_semi").select(*(f"`{c}`" for c in docs.columns))
+    ids = told.select("_document", "_other", "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_document", "_other")
+    least = groups.join(ids, "_document").groupBy("component_id").agg(F.min(order).alias("least"))
+    # Documents that share the first hash by chance are in one group without being alike: all of them stay.
+    alike = ids.groupBy("_document").agg(F.min("_other").alias("low"), F.max("_other").alias("high")).where("low <> high")
+    clashing = ids.join(alike, "_document", "left_semi").select("_document", "_other")
+    kept = least.select("least._document", "least._other").unionAll(clashing)
+    once = docs.select("*", document.alias("_document"), other.alias("_other")).dropDuplicates(["_document", "_other"])
+    return once.join(kept, ["_document", "_other"], "left_semi").select(*(f"`{c}`" for c in docs.columns))
 
 
 def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
