@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import prose
@@ -29,6 +30,15 @@ def test_one_whole_copy_of_repeated_rows_reaches_packing(spark, documents):
     assert packed.where("doc_id = 1").selectExpr("sum(length)").first() == packed.where("doc_id = 1").selectExpr("max(length)").first()
 
 
+def test_no_document_is_lost_to_a_hash_collision(spark, documents, monkeypatch):
+    first, second, third = (prose(k, 120) for k in (21, 22, 23))
+    rows = [(1, first), (2, second), (2, second), (3, first + " more"), (4, second + " more"), (5, third)]
+    clash = F.when(F.col("doc_id") <= 2, F.lit(77)).otherwise(F.xxhash64("doc_id", "text")).cast("long")
+    monkeypatch.setattr(corpus_pipeline, "_hashes", lambda: (clash, F.xxhash64("text", "doc_id")))
+    kept = corpus_pipeline.drop_near_duplicates(spark, documents(rows), FOLDER).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, first), (2, second), (5, third)]
+
+
 def _shingles(text):
     words = text.split()
     return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
