@@ -500,6 +500,18 @@ register(
 
 # --- per-customer and per-order labels -------------------------------------------------------------
 RFM_COLUMNS = ("order_id", "order_status", "customer_unique_id", "order_purchase_timestamp", "total_payment")
+# The segment of each recency score (row, from 1) and frequency score (column, from 1).
+_SEGMENT_GRID = (
+    ("Hibernating", "Hibernating", "At risk", "At risk"),
+    ("Hibernating", "Hibernating", "At risk", "At risk"),
+    ("Recent", "Recent", "Loyal", "Loyal"),
+    ("Recent", "Recent", "Champions", "Champions"),
+)
+_SEGMENT_ROWS = " UNION ALL ".join(
+    f"SELECT {r} AS r_score, {f} AS f_score, '{segment}' AS segment"
+    for r, labels in enumerate(_SEGMENT_GRID, 1)
+    for f, segment in enumerate(labels, 1)
+)
 RFM_SQL = _REFERENCE_SQL + f""", base AS (
     SELECT customer_unique_id, {_RECENCY.format(ts="max(order_purchase_timestamp)")} AS recency_days,
            count(DISTINCT order_id) AS frequency, {PAID_TOTAL} AS monetary
@@ -517,12 +529,7 @@ RFM_SQL = _REFERENCE_SQL + f""", base AS (
            CAST((4 * m + n - 1) // n AS INT) AS m_score
     FROM placed
 ), segmented AS (
-    SELECT *, CASE WHEN r_score >= 4 AND f_score >= 3 THEN 'Champions'
-                   WHEN r_score >= 3 AND f_score >= 3 THEN 'Loyal'
-                   WHEN r_score >= 3 AND f_score <= 2 THEN 'Recent'
-                   WHEN r_score <= 2 AND f_score >= 3 THEN 'At risk'
-                   ELSE 'Hibernating' END AS segment
-    FROM scored
+    SELECT scored.*, segment FROM scored JOIN ({_SEGMENT_ROWS}) AS grid USING (r_score, f_score)
 )
 """
 register(
