@@ -304,6 +304,33 @@ register(
     "m11_random_forest",
     lambda i: train.feature_importance(train.fit_model(_fit_rows(i), "random_forest"), count=None),
 )
+
+
+def _bootstraps(i):
+    """Of every tree: the rows to draw from, whether it drew about as many, and whether both classes weigh the same."""
+    rows = materialize(_fit_rows(i).select("is_late", F.xxhash64(*features.KEYS).alias("row")))
+    drawn = train.drawn_rows(rows, train.FOREST_TREES).groupBy("tree", "is_late", "times").agg(F.count("*").alias("n"))
+    drawn = drawn.join(train.bootstrap_weights(rows, train.FOREST_TREES).drop("drawn"), ["tree", "is_late"])
+    weight = F.col("n") * F.col("times") * F.col("weight")
+    found = drawn.groupBy("tree").agg(
+        F.sum(F.col("n") * F.col("times")).alias("drawn"), *(F.sum(F.when(F.col("is_late") == c, weight)).alias(f"w{c}") for c in (0, 1))
+    )
+    total = rows.agg(F.count("*")).scalar()
+    return found.select(
+        "tree",
+        total.alias("rows"),
+        (F.abs(F.col("drawn") - total) <= 6 * F.sqrt(total)).alias("drawn_as_many"),
+        (F.greatest(*(F.abs(F.col(w) - F.col("drawn") / 2) for w in ("w0", "w1"))) <= 1e-9 * F.col("drawn")).alias("balanced"),
+    )
+
+
+register(
+    "m11_bootstraps",
+    _bootstraps,
+    _ROWS_SQL + f"""
+SELECT CAST(range AS INTEGER) AS tree, (SELECT count(*) FROM fit) AS rows, true AS drawn_as_many, true AS balanced
+FROM range({train.FOREST_TREES})""",
+)
 # The greatest derivative by row at which the regression counts as solved.
 GRADIENT_BOUND = 1e-4
 

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ordergrain.plans.late_risk import features, metrics, scenario, train
@@ -292,6 +292,82 @@ def test_forest_importance_adds_up(rows):
     assert importance.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
 
 
+def prepared_rows(spark, labels, seed=3):
+    rng = random.Random(seed)
+    rows = [(label, k, [rng.uniform(0, 1) + 0.5 * label, rng.uniform(0, 1)]) for k, label in enumerate(labels)]
+    frame = spark.createDataFrame(rows, "is_late int, row long, x array<double>")
+    return frame.select("is_late", "row", array_to_vector("x").alias("features")).persist()
+
+
+def test_draws_are_poisson(spark):
+    drawn = spark.range(20_000).select(train.draws(F.col("id"), F.lit(7)).alias("n"))
+    shares = {r["n"]: r["count"] / 20_000 for r in drawn.groupBy("n").count().collect()}
+    for n, expected in enumerate([0.3679, 0.3679, 0.1839, 0.0613, 0.0153]):
+        assert shares[n] == pytest.approx(expected, abs=0.012)
+    other = spark.range(20_000).select(train.draws(F.col("id"), F.lit(8)).alias("n"))
+    assert drawn.collect() != other.collect()
+    again = spark.range(20_000).repartition(7).select("id", train.draws(F.col("id"), F.lit(7)).alias("n")).orderBy("id")
+    assert [r["n"] for r in again.collect()] == [r["n"] for r in drawn.collect()]
+
+
+def tree_weights(data, trees):
+    found = {}
+    for r in train.bootstrap_weights(data, trees).collect():
+        found.setdefault(r["tree"], {})[r["is_late"]] = r["weight"]
+    return found
+
+
+def test_bootstraps_are_balanced_each(spark):
+    data = prepared_rows(spark, [int(k % 9 == 0) for k in range(900)])
+    trees = 6
+    each = data.select("is_late", "row", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    each.select("*", train.draws(F.col("row"), F.col("tree")).alias("n")).createOrReplaceTempView("drawn")
+    counted = spark.sql("SELECT tree, is_late, sum(n) AS drawn, count_if(n > 0) AS chosen FROM drawn GROUP BY tree, is_late").collect()
+    found = train.bootstrap_weights(data, trees).collect()
+    assert {(r["tree"], r["is_late"]): r["drawn"] for r in found} == {(r["tree"], r["is_late"]): r["drawn"] for r in counted}
+    weights = tree_weights(data, trees)
+    assert len({w[1] for w in weights.values()}) == trees  # the draws differ, so do the weights
+    for number in range(trees):
+        sums = train.bootstrap(data, number, weights[number]).groupBy("is_late").agg(F.sum("weight").alias("w"), F.count("*").alias("n"))
+        sums = {r["is_late"]: r for r in sums.collect()}
+        half = sum(r["drawn"] for r in counted if r["tree"] == number) / 2
+        assert sums[0]["w"] == pytest.approx(half) and sums[1]["w"] == pytest.approx(half)
+        assert {(number, c, r["n"]) for c, r in sums.items()} == {(number, r["is_late"], r["chosen"]) for r in counted if r["tree"] == number}
+
+
+def test_forest_is_the_mean_of_its_trees(spark):
+    data = prepared_rows(spark, [int(k % 5 == 0) for k in range(400)])
+    model = train.grow_forest(data, trees=4, depth=5)
+    assert model.getNumTrees == 4 and model.numClasses == 2
+    weights = tree_weights(data, 4)
+    chance = vector_to_array("probability")[1].alias("p")
+    alone = []
+    for number in range(4):
+        single = train.tree(number, 5).fit(train.bootstrap(data, number, weights[number]))
+        assert single.trees[0].toDebugString.split("\n", 1)[1] == model.trees[number].toDebugString.split("\n", 1)[1]
+        alone.append([r["p"] for r in single.transform(data).orderBy("row").select(chance).collect()])
+    got = [r["p"] for r in model.transform(data).orderBy("row").select(chance).collect()]
+    assert got == pytest.approx(np.mean(alone, axis=0))
+
+
+def test_forest_of_one_late_row(spark):
+    """Some trees draw no late row; they know both classes all the same."""
+    model = train.grow_forest(prepared_rows(spark, [0] * 40 + [1]), trees=6, depth=3)
+    assert model.numClasses == 2 and len(model.trees) == 6
+    assert {t.numClasses for t in model.trees} == {2}
+    tiny = train.grow_forest(prepared_rows(spark, [0, 1]), trees=30, depth=2)
+    assert 0 < len(tiny.trees) < 30
+
+
+def test_saved_forest_scores_the_same(rows, tmp_path):
+    fitted = train.fit_model(rows, "random_forest", trees=3, depth=4)
+    train.save_model(fitted.pipeline, str(tmp_path / "forest"))
+    loaded = train.load_model(str(tmp_path / "forest"))
+    assert len(loaded.stages[-1].trees) == 3
+    chance = [train.score(p, rows).orderBy("order_id").select("late_probability").collect() for p in (fitted.pipeline, loaded)]
+    assert chance[0] == chance[1]
+
+
 def test_saved_model_scores_the_same(run, tmp_path, rows):
     path = str(tmp_path / "model")
     train.save_model(run.fitted.pipeline, path)
