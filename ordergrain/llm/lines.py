@@ -92,7 +92,8 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, alone: int | None = Non
     ``docs`` has id, row (a value that tells texts of an id apart) and text.
     """
     prints = stored(fingerprints(docs, window, alone))
-    repeated = prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
+    # Both sides of a join are stored tables: only then is a hot print split among tasks.
+    repeated = stored(prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"))
     # A window is named by the lines of it that come before the fingerprint and all its other lines.
     windows = (
         f"transform(filter(sequence(0, {window - 1}), o -> o <= size(before) AND {window - 1} - o <= size(after)),"
@@ -104,6 +105,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, alone: int | None = Non
     name = ["print", "lead", "others"]
     position = F.struct("id", "row", "line", "before", "after")
     firsts = runs.groupBy(*name).agg(F.min(position).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    firsts = stored(firsts)
     later = runs.join(firsts, name).where(
         F.struct("id", "row", "line") > F.struct("first.id", "first.row", "first.line")
     )
