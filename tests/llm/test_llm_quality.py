@@ -75,3 +75,44 @@ def test_awkward_rows(spark, documents, awkward):
     assert quality.accepted(docs, none).count() == len(awkward)
     assert quality.classify(documents([]), labels).collect() == []
     assert quality.accepted(documents([]), none).collect() == []
+
+
+def test_posteriors_equal_brute_force(spark):
+    """All formulas of the sites, written out again in plain Python, on uneven random sites."""
+    chosen = random.Random(5)
+    rows = []
+    for k in range(600):
+        host = chosen.choice(["a", "a", "a", "b", "c", f"h{chosen.randrange(8)}", None])
+        shift = {"a": 1.0, "b": -2.0}.get(host, 0.0)
+        path = chosen.choice(["p", "q", None])
+        rows.append((k, host, path, shift + {"p": 3.0, "q": -3.0}.get(path, 0.0) + chosen.gauss(0.5, 1.0)))
+    judged = spark.createDataFrame(rows, "id long, host string, path string, evidence double")
+    found = {r.id: r for r in quality.judge(judged, quality.Sites(judged)).collect()}
+
+    chance = {k: 1 / (1 + np.exp(-e)) for k, _, _, e in rows}
+    hosts, paths = {}, {}
+    for k, host, path, _ in rows:
+        hosts.setdefault(host, []).append(chance[k])
+        paths.setdefault((host, path), []).append(chance[k])
+    mean = np.mean(list(chance.values()))
+
+    def strength(spread, noise):
+        return float(np.clip(mean * (1 - mean) / (spread - noise) - 1, 1, 1e6)) if spread > noise else 1e6
+
+    weight = strength(
+        np.mean([(np.mean(p) - mean) ** 2 for p in hosts.values()]), np.mean([mean * (1 - mean) / len(p) for p in hosts.values()])
+    )
+    of_host = {h: (sum(p) + weight * mean) / (len(p) + weight) for h, p in hosts.items()}
+    weight = strength(
+        np.mean([(np.mean(p) - of_host[h]) ** 2 for (h, _), p in paths.items()]),
+        np.mean([of_host[h] * (1 - of_host[h]) / len(p) for (h, _), p in paths.items()]),
+    )
+    assert 1 < weight < 1e6
+    for k, host, path, evidence in rows:
+        others = list(paths[host, path])
+        others.remove(chance[k])
+        own = (sum(others) + weight * of_host[host]) / (len(others) + weight)
+        odds = evidence + np.log(own / (1 - own)) - np.log(mean / (1 - mean))
+        got = found[k]
+        assert got.host_posterior == pytest.approx(of_host[host]) and got.path_posterior == pytest.approx(own)
+        assert got.posterior == pytest.approx(1 / (1 + np.exp(-odds))) and got.kept == (got.posterior >= 0.5)
