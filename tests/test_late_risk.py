@@ -310,6 +310,24 @@ def test_draws_are_poisson(spark):
     assert [r["n"] for r in again.collect()] == [r["n"] for r in drawn.collect()]
 
 
+def test_draws_are_compiled(spark):
+    plan = spark.range(10).select(train.draws(F.col("id"), F.lit(7)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+
+
+def test_trees_do_not_share_local_properties(spark, monkeypatch):
+    """Fits that share them take each other's execution ids for their own and fail now and then."""
+    plain, seen = train.tree, []
+
+    def noted(number, depth):
+        seen.append(spark._jvm.java.lang.System.identityHashCode(spark.sparkContext._jsc.sc().getLocalProperties()))
+        return plain(number, depth)
+
+    monkeypatch.setattr(train, "tree", noted)
+    train.grow_forest(prepared_rows(spark, [int(k % 5 == 0) for k in range(100)]), trees=4, depth=2)
+    assert len(set(seen)) == 4
+
+
 def tree_weights(data, trees):
     found = {}
     for r in train.bootstrap_weights(data, trees).collect():
