@@ -250,6 +250,13 @@ def test_logistic_regression_solves_the_weighted_l2_problem(rows):
     assert importance[0]["importance"] == pytest.approx(np.abs(b).max())
 
 
+def test_optimum_reads_the_rows_once(rows):
+    """One aggregation by sign, without a row per row and feature."""
+    fitted = train.fit_model(rows, "logistic_regression")
+    plan = train.optimum(fitted, rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "scalar-subquery" not in plan
+
+
 def test_refit_uses_its_own_statistics(run):
     whole = run.split.where("split <> 'test'").drop("split")
     assert run.fitted.learned == features.learn_statistics(whole)
