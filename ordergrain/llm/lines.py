@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordergrain.llm.storage import stored
+from ordergrain.llm.storage import settled, stored
 from ordergrain.llm.textbytes import releasing
 
 WINDOW = 2
@@ -129,7 +129,10 @@ def remove_repeated_lines(
     fields = [f for f in docs.schema.fields if f.name not in results]
     id_, row = F.col(f"`{key}`").alias("id"), text_row(key, text).alias("row")
     plain = docs.select(id_, row, F.col(f"`{text}`").alias("text"))
-    gone = repeated_runs(plain, window, alone).groupBy("id", "row").agg(F.collect_list(F.struct("line", "size")).alias("gone"))
+    gone = settled(
+        docs.sparkSession,
+        lambda: repeated_runs(plain, window, alone).groupBy("id", "row").agg(F.collect_list(F.struct("line", "size")).alias("gone")),
+    )
     gone = gone.select(F.col("id").alias("gone_id"), F.col("row").alias("gone_row"), "gone")
     named = docs.select(*(F.col(f"`{f.name}`").alias(f"c{k}") for k, f in enumerate(fields)), id_, row)
     place = f"c{[f.name for f in fields].index(text)}"

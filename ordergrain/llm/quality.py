@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordergrain.llm.storage import stored
+from ordergrain.llm.storage import settled, stored
 from ordergrain.llm.textbytes import releasing
 
 BUCKETS = 1 << 18
@@ -269,7 +269,15 @@ def accepted(
     Evidence is computed again from the texts on the way, so that texts are not moved; only the
     site table is joined.
     """
-    _, sites, model = _fitted(docs, labels, key, text, host, path)
+    sites = model = None
+
+    def fitted() -> DataFrame:
+        nonlocal sites, model
+        _, sites, model = _fitted(docs, labels, key, text, host, path)
+        return sites.table
+
+    table = settled(docs.sparkSession, fitted)
+    sites.table = table
     fields = docs.schema.fields
     place = f"c{[f.name for f in fields].index(text)}"
     named = docs.select(*(F.col(f"`{f.name}`").alias(f"c{k}") for k, f in enumerate(fields)), F.col(f"`{host}`").alias("host"), F.col(f"`{path}`").alias("path"))

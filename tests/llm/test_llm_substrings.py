@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import prose
-from ordergrain.llm import substrings
+from ordergrain.llm import storage, substrings
 from ordergrain.llm.suffixes import suffix_array
 
 
@@ -99,3 +99,18 @@ def test_text_keeps_whole_characters(documents):
 
 def test_empty_table(documents):
     assert substrings.remove_repeated(documents([])).collect() == []
+
+
+def test_only_the_ranges_stay_stored(spark, documents):
+    storage.drop_stored(spark)
+    rows = list(mixed(4, 30))
+    check(documents, rows)
+    assert storage.drop_stored(spark) == 1
+
+
+def test_spans_of_anchors_that_occur_once_are_left_out(documents, monkeypatch):
+    moved = []
+    monkeypatch.setattr(substrings, "settled", lambda spark, build: moved.append(build()) or moved[-1])
+    shared = prose(7, 100)
+    check(documents, [(1, prose(300, 900)), (2, prose(301, 60) + shared), (3, shared + prose(302, 60))])
+    assert 0 < moved[0].count() < 60  # of some 160 spans
