@@ -299,6 +299,15 @@ def test_forest_importance_adds_up(rows):
     assert importance.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
 
 
+def test_rows_of_few_partitions_are_kept_in_several_places(rows, monkeypatch):
+    levels, grow = [], train.grow_forest
+    monkeypatch.setattr(train, "grow_forest", lambda data, **options: levels.append(data.storageLevel) or grow(data, **options))
+    train.fit_model(rows, "random_forest", trees=2, depth=2)
+    monkeypatch.setattr(train, "FOREST_PARTITION_ROWS", 50)
+    train.fit_model(rows, "random_forest", trees=2, depth=2)
+    assert [level.replication for level in levels] == [train.FOREST_COPIES, 1]
+
+
 def prepared_rows(spark, labels, seed=3):
     rng = random.Random(seed)
     rows = [(label, k, [rng.uniform(0, 1) + 0.5 * label, rng.uniform(0, 1)]) for k, label in enumerate(labels)]
