@@ -148,60 +148,52 @@ def corpus_counts(dealt: DataFrame, order: int, bits: int) -> DataFrame:
 class Automaton:
     """The part of the backoff automaton that the n-grams of some documents reach.
 
-    State 0 is the empty context. Arcs are found by state and symbol, the place of a word among the
-    block's distinct words. Symbols without count have an arc from state 0, the unknown word's.
+    The state of a context is its place among the block's distinct n-grams of its length, state 0 of length 0 the
+    empty one. ``log[n - 1]`` and ``seen[n - 1]`` are the arcs by n-gram: from the state of its first n - 1 words
+    with its last word. Every word has an arc from the empty context, the unknown word's if it has no count.
+    ``fail_log[n - 1]`` has the failure arcs of the contexts of n words; it is 0 for what is no state.
     """
 
     def __init__(self, grams: Grams, totals: list[np.ndarray], tokens: int, words: int) -> None:
-        order = len(totals)
-        self.symbols = len(totals[0])
-        unigram = (totals[0] + 0.5) / (tokens + 0.5 * (words + 1))
-        self.unigram_log = np.log10(unigram)
-        numbers = []  # state of each n-gram that is a context, 0 if it has none
-        made = 1
-        for n in range(1, order):
-            seen = totals[n - 1] > 0
-            numbers.append(np.where(seen, made + np.cumsum(seen) - 1, 0))
-            made += int(seen.sum())
-        self.fail, self.fail_log = np.zeros(made, np.int64), np.zeros(made)
-        probability, targets = unigram, numbers[0] if order > 1 else np.zeros(self.symbols, np.int64)
-        keys, logs, ends = [np.arange(self.symbols)], [np.log10(unigram)], [targets]
-        for n in range(2, order + 1):
+        probability = (totals[0] + 0.5) / (tokens + 0.5 * (words + 1))
+        self.log, self.fail_log = [np.log10(probability)], []
+        self.seen = [np.ones(len(totals[0]), bool), *(counts > 0 for counts in totals[1:])]
+        for n in range(2, len(totals) + 1):
             which, shorter = grams.which[n - 1], grams.which[n - 2]
             inside = np.flatnonzero(which >= 0)
             at = np.zeros(len(totals[n - 1]), dtype=np.int64)  # an occurrence of each distinct n-gram
             at[which[inside]] = inside
-            prefix, suffix, symbol = shorter[at - 1], shorter[at], grams.which[0][at]
+            prefix, suffix = shorter[at - 1], shorter[at]
             context = totals[n - 2][prefix].astype(float)
             backoff = 1 - (1 - LEAST_BACKOFF) * context / (context + TRUST)
-            states = numbers[n - 2]
-            self.fail_log[states[prefix]] = np.log10(backoff)
-            if n < order:
-                self.fail[numbers[n - 1]] = states[suffix]
+            failure = np.zeros(len(totals[n - 2]))
+            failure[prefix] = np.log10(backoff)
             share = totals[n - 1] / np.maximum(context, 1)
             probability = np.where(context > 0, (1 - backoff) * share + backoff * probability[suffix], probability[suffix])
-            seen = totals[n - 1] > 0
-            keys.append((states[prefix] * self.symbols + symbol)[seen])
-            logs.append(np.log10(probability[seen]))
-            ends.append((numbers[n - 1] if n < order else states[suffix])[seen])
-        self.fail[0], self.fail_log[0] = 0, 0.0
-        self.arcs = dict(zip(np.concatenate(keys).tolist(), range(sum(map(len, keys)))))
-        self.log, self.target = np.concatenate(logs).tolist(), np.concatenate(ends).tolist()
-        self.fail, self.fail_log = self.fail.tolist(), self.fail_log.tolist()
-
-    def score(self, begin: int, symbols: list[int]) -> float:
-        """Sum of the log10 probabilities on the path of ``symbols`` after the symbol ``begin``."""
-        arc, log, target, width = self.arcs.get, self.log, self.target, self.symbols
-        state, total = self.target[self.arcs[begin]], 0.0
-        for symbol in symbols:
-            at = arc(state * width + symbol)
-            while at is None:
-                total += self.fail_log[state]
-                state = self.fail[state]
-                at = arc(state * width + symbol)
-            total += log[at]
-            state = target[at]
-        return total
+            self.fail_log.append(failure)
+            self.log.append(np.log10(probability))
+
+    def scores(self, grams: Grams) -> list[float]:
+        """For each document the sum of the log10 probabilities on the path of its tokens after the beginning mark.
+
+        The state before a token is the longest seen context, so all tokens look for their arc at once: first from
+        contexts of order - 1 words, then, over the failure arcs of those that have none, from shorter ones.
+        """
+        order = len(self.log)
+        steps = np.zeros((len(grams.place), order))  # the failure arcs of each token, then its arc
+        waiting = grams.place > 0
+        for n in range(order, 0, -1):
+            which = grams.which[n - 1]
+            here = np.flatnonzero(waiting & (which >= 0))
+            found = self.seen[n - 1][which[here]]
+            taken, lost = here[found], here[~found]
+            steps[taken, order - 1] = self.log[n - 1][which[taken]]
+            waiting[taken] = False
+            if len(lost):
+                steps[lost, order - n] = self.fail_log[n - 2][grams.which[n - 2][lost - 1]]
+        # Added up in the order of the path; a plain sum would group the numbers.
+        ends = grams.first.tolist()
+        return [float(np.add.accumulate(steps[a:b].reshape(-1))[-1]) for a, b in zip(ends, ends[1:])]
 
 
 def score(docs: DataFrame, training: str, key: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
@@ -229,11 +221,9 @@ def score(docs: DataFrame, training: str, key: str = "doc_id", text: str = "text
         symbols, first = grams.which[0], grams.first
         real = grams.place > 0
         ends = first[1:] - np.arange(1, len(first))
-        base = np.add.reduceat(automaton.unigram_log[symbols[real]], np.concatenate([[0], ends[:-1]]))
+        base = np.add.reduceat(automaton.log[0][symbols[real]], np.concatenate([[0], ends[:-1]]))
         known = np.add.reduceat((totals[0][symbols[real]] > 0).astype(np.int64), np.concatenate([[0], ends[:-1]]))
-        begin = int(np.searchsorted(grams.keys[0], BEGIN))
-        spans = zip((first[:-1] + 1).tolist(), first[1:].tolist())
-        scores = [automaton.score(begin, symbols[a:b].tolist()) for a, b in spans]
+        scores = automaton.scores(grams)
         held_out = ~documents.column("training").to_numpy()
         number = len(scores)
         return pa.Table.from_arrays(

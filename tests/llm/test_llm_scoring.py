@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import prose
@@ -98,3 +100,16 @@ def test_empty_tables(documents):
     assert scoring.score(documents([]), TRAINING).collect() == []
     row = scoring.score(documents([(1, "a b")]), "false").first()
     assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens, row.score) == (True, 3, 0, 0, 0.0)
+
+
+def test_traversal_costs_less_than_the_counts():
+    """No step by token in Python: finding the n-grams takes longer than walking all texts."""
+    rows = pa.chunked_array([pa.array([prose(k % 500, 600) for k in range(2000)])])
+    before = time.process_time()
+    grams = scoring.Grams(rows, 2)
+    found = time.process_time() - before
+    totals = [grams.counts(n, np.arange(len(rows)) % 2 == 0) for n in (1, 2)]
+    before = time.process_time()
+    scores = scoring.Automaton(grams, totals, int(totals[0].sum()), int((totals[0] > 0).sum())).scores(grams)
+    assert len(scores) == len(rows)
+    assert time.process_time() - before < found
