@@ -106,7 +106,8 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, alone: int | None = Non
     position = F.struct("id", "row", "line", "before", "after")
     firsts = runs.groupBy(*name).agg(F.min(position).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     firsts = stored(firsts)
-    later = runs.join(firsts, name).where(
+    # Sorted joins whatever the size, so that shuffles grow with the input and do not set in where a broadcast ends.
+    later = runs.join(firsts.hint("merge"), name).where(
         F.struct("id", "row", "line") > F.struct("first.id", "first.row", "first.line")
     )
     grown = later.select(
@@ -166,5 +167,5 @@ def remove_repeated_lines(
         [*(T.StructField(f"c{k}", f.dataType) for k, f in enumerate(fields)), *(T.StructField(c, T.LongType()) for c in results)]
     )
     same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("row") == F.col("gone_row"))
-    both = named.join(gone, same, "left").drop("id", "row", "gone_id", "gone_row")
+    both = named.join(gone.hint("merge"), same, "left").drop("id", "row", "gone_id", "gone_row")
     return both.mapInArrow(cut, schema).toDF(*(f.name for f in fields), *results)

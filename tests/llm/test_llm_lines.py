@@ -124,3 +124,12 @@ def test_colliding_hashes_keep_texts_apart(documents, monkeypatch):
     )
     rows = [(k, "\n".join(f"{k // 2} {j}" for j in range(k + 2))) for k in range(40)]
     check(documents, rows, 2)
+
+
+def test_small_tables_are_joined_as_large_ones(documents):
+    """No broadcast while the deleted runs are few, so that what is shuffled grows in proportion to the input."""
+    rows = [(k, f"own {k}\nlicence one\nlicence two\nend {k}") for k in range(50)]
+    found = lines.remove_repeated_lines(documents(rows))
+    assert found.where("n_removed = 2").count() == 49
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
