@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import threading
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -308,6 +309,40 @@ def test_rows_of_few_partitions_are_kept_in_several_places(rows, monkeypatch):
     assert [level.replication for level in levels] == [train.FOREST_COPIES, 1]
 
 
+def test_many_rows_are_grown_on_few_partitions_without_their_plan(rows, monkeypatch):
+    found = []
+
+    def noted(data, **options):
+        found.append((data.rdd.getNumPartitions(), data._jdf.queryExecution().analyzed().toString()))
+        return grow(data.limit(300), **options)
+
+    grow = train.grow_forest
+    monkeypatch.setattr(train, "grow_forest", noted)
+    many = rows.crossJoin(rows.sparkSession.range(150)).drop("id")
+    train.fit_model(many, "random_forest", train.learn_statistics(rows), trees=1, depth=2)
+    ((parts, plan),) = found
+    assert parts == 1
+    assert "LogicalRDD" in plan and "Repartition" not in plan
+
+
+def test_trees_at_once():
+    """A tree on one partition has one task at a time, so that more of them cover more cores, to a bound."""
+    assert [train.trees_at_once(cores, 1) for cores in (2, 8, 12, 400)] == [16, 16, 24, 32]
+    assert train.trees_at_once(12, 8) == 16 and train.trees_at_once(12, 0) == 24
+
+
+def test_candidates_are_fitted_at_the_same_time(rows, monkeypatch):
+    met, fit = threading.Barrier(2), train.fit_model
+
+    def waiting(*args, **options):
+        met.wait(timeout=60)  # broken if the one is fitted before the other
+        return fit(*args, **options)
+
+    monkeypatch.setattr(train, "fit_model", waiting)
+    results = train.validate(rows.where("order_id < 'o00400'"), rows.where("order_id >= 'o00400'"), trees=2, depth=2)
+    assert [r["model"] for r in results.collect()] == ["dummy", *train.CANDIDATES]
+
+
 def prepared_rows(spark, labels, seed=3):
     rng = random.Random(seed)
     rows = [(label, k, [rng.uniform(0, 1) + 0.5 * label, rng.uniform(0, 1)]) for k, label in enumerate(labels)]
