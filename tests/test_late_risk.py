@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from ordergrain.plans.late_risk import features, metrics, scenario, train
+from ordergrain.plans.late_risk import features, metrics, scenario, train, trees
 from ordergrain.plans.report import model_summary
 from ordergrain.sources import sinks
 
@@ -444,6 +444,43 @@ def test_forest_of_one_late_row(spark):
     assert 0 < len(tiny.trees) < 30
 
 
+def test_draws_in_a_task_are_the_same(spark):
+    numbers = np.random.default_rng(5).integers(-(2**63), 2**63, 5_000)
+    frame = spark.createDataFrame([(int(n),) for n in numbers], "row long").select("row", train.draws(F.col("row"), F.lit(7)).alias("n"))
+    found = {r["row"]: r["n"] for r in frame.collect()}
+    again = trees.draws(numbers, 7, train.FOREST_SEED, train.DRAW_SHARES)
+    assert [found[int(n)] for n in numbers] == again.tolist()
+
+
+def one_partition(rows, copies):
+    """Prepared rows, numbers and categories, as a forest of so many of them is grown on."""
+    learned = features.learn_statistics(rows)
+    many = PipelineModel(features.preparation_stages(rows, learned)).transform(rows.crossJoin(rows.sparkSession.range(copies)))
+    return many.select("is_late", F.xxhash64("order_id", "id").alias("row"), "features").repartition(1).persist()
+
+
+@pytest.mark.parametrize("copies", [1, 30, 70])
+def test_trees_grown_in_a_task_are_those_of_spark(rows, monkeypatch, copies):
+    """With all rows as candidates of a split, and with 10,000 drawn from more and from many more rows."""
+    data = one_partition(rows, copies)
+    forest = train.grow_forest(data, trees=3, depth=8)
+    monkeypatch.setattr(train, "FOREST_TASK_CELLS", 0)
+    level_by_level = train.grow_forest(data, trees=3, depth=8)
+    one, other = ([t.toDebugString.split("\n", 1)[1] for t in model.trees] for model in (forest, level_by_level))
+    assert one == other and "in {" in one[0] and "<=" in one[0]
+    assert forest.featureImportances == level_by_level.featureImportances
+    chance = [[r[0] for r in m.transform(data.orderBy("row").limit(300)).select(vector_to_array("probability")[1]).collect()] for m in (forest, level_by_level)]
+    assert chance[0] == chance[1]
+
+
+def test_a_tree_is_no_job_a_level(rows, monkeypatch):
+    def refused(*_):
+        raise AssertionError("fitted level by level")
+
+    monkeypatch.setattr(train.RandomForestClassifier, "fit", refused)
+    assert train.grow_forest(one_partition(rows, 1), trees=2, depth=20).getNumTrees == 2
+
+
 def test_saved_forest_scores_the_same(rows, tmp_path):
     fitted = train.fit_model(rows, "random_forest", trees=3, depth=4)
     train.save_model(fitted.pipeline, str(tmp_path / "forest"))
